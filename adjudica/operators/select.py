@@ -133,26 +133,18 @@ def profile_answers(
     single = pairs.select(
         *keys, "cand_sig", "__blocked", F.col(preference).alias("__pref"), F.explode("ids").alias("cid")
     )
-    wish = F.when(F.col(prefer), -F.col("__pref")).otherwise(F.lit(0))
-    best = (
-        topk_per_key(single.filter(~F.col("__blocked")), keys, [wish, F.col("cid")], 2, "rank")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "cid", "__pref"))).alias("__best"))
+    wish = F.when(F.col(prefer) & ~F.col("__blocked"), -F.col("__pref")).otherwise(F.lit(0))
+    # One ranking serves both lists: the eligible ones by preference, the blocked ones by id.
+    ranked = topk_per_key(single, [*keys, "__blocked"], [wish, F.col("cid")], max_rejected + 1, "rank")
+    eligible = F.when(~F.col("__blocked") & (F.col("rank") <= 2), F.struct("rank", "cid", "__pref"))
+    refused = F.when(
+        F.col("__blocked"),
+        F.struct("cid", outcome_text(r, c, n_rules).alias("outcome"), F.substring(c, n_rules + 1, 1000).alias("gaps")),
     )
-    rejected = (
-        topk_per_key(single.filter("__blocked"), keys, [F.col("cid")], max_rejected + 1, "rank")
-        .groupBy(*keys)
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        "cid", outcome_text(r, c, n_rules).alias("outcome"), F.substring(c, n_rules + 1, 1000).alias("gaps")
-                    )
-                )
-            ).alias("__rejected")
-        )
+    lists = ranked.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(eligible)).alias("__best"), F.array_sort(F.collect_list(refused)).alias("__rejected")
     )
-    return counts.join(best, keys, "left").join(rejected, keys, "left")
+    return counts.join(lists, keys, "left")
 
 
 def select_top1(

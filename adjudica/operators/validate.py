@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica.functions.identity import content_id
+from adjudica.functions.privacy import mask_text
 
 # --- fixed values: reasons are part of the quarantine key, so their wording must not change -----------
 CRITICAL_FIELDS = [
@@ -42,12 +43,12 @@ def quarantine_key(key: Column | str, raw: Column | str) -> Column:
     return F.coalesce(k, F.concat(F.lit("MALFORMED:"), content_id("Q", raw)))
 
 
-def quarantine_rows(df: DataFrame, key: str, raw: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per (record, reason), for records with at least one."""
-    return df.filter(F.size("reasons") > 0).select(
-        quarantine_key(key, raw).alias("ticket_key"), F.explode("reasons").alias("reason"),
-        F.col(raw).alias("raw_json"), *keep,
+def quarantine_rows(df: DataFrame, key: str, raw: str, salt: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per (record, reason), for records with at least one; the raw record is masked here."""
+    keyed = df.filter(F.size("reasons") > 0).select(
+        quarantine_key(key, raw).alias("ticket_key"), "reasons", mask_text(raw, salt).alias("raw_json"), *keep
     )
+    return keyed.select("ticket_key", F.explode("reasons").alias("reason"), "raw_json", *keep)
 
 
 def reject_orphans(df: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +15,9 @@ from adjudica.operators import asof, assemble, dedupe, select, validate
 from adjudica.operators.lookup import lookup_left
 from adjudica.operators.rules import collect_effects, evaluate_rules, first_effect
 from adjudica.rulebook import CANDIDATE_KEYS, DEFAULT_RULES, KEY_KINDS, Rule
+from adjudica.session import stage
 
+Keep = Callable[[DataFrame, str], DataFrame]
 PREFERRED_CLIENT = "orion_pharma"
 
 
@@ -108,7 +110,7 @@ def admit(tickets: DataFrame, fleet: DataFrame, zone: str) -> tuple[DataFrame, D
         usable, fleet, "vehicle_reg", "reg_canon", {"broken_vehicle_reg": "reg_canon", "broken_home_hub": "home_hub"}
     )
     return (
-        looked.filter("broken_vehicle_reg is not null"),
+        looked.filter("broken_vehicle_reg is not null").drop("raw_json", "reasons"),
         first.filter(F.size("reasons") > 0),
         looked.filter("broken_vehicle_reg is null"),
     )
@@ -167,8 +169,13 @@ def candidate_signature(exclusions: Sequence[Rule]) -> Column:
     return F.concat(select.side_signature(exclusions, ctx, candidate=True), select.gap_flags(exclusions, ctx))
 
 
-def select_candidates(records: DataFrame, days: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the choice among the pool's vehicles to records that carry their broken vehicle's facts."""
+def select_candidates(
+    records: DataFrame, days: DataFrame, rules: Sequence[Rule], keep: Keep = stage
+) -> DataFrame:
+    """Add the choice among the pool's vehicles to records that carry their broken vehicle's facts.
+
+    ``keep`` holds on to the classes, which are small and read twice.
+    """
     exclusions = select.exclusion_rules(rules)
     n = len(exclusions)
     record_ctx = {k: F.col(k) for k in KEY_KINDS if k not in CANDIDATE_KEYS}
@@ -185,7 +192,7 @@ def select_candidates(records: DataFrame, days: DataFrame, rules: Sequence[Rule]
         F.col("home_hub").alias("pool"), "day", F.col("reg_canon").alias("cid"), "vehicle_year",
         candidate_signature(exclusions).alias("cand_sig"),
     )
-    classes = select.candidate_classes(candidates, "pool", "day", "cid", "vehicle_year")
+    classes = keep(select.candidate_classes(candidates, "pool", "day", "cid", "vehicle_year"), "classes")
     answers = select.profile_answers(signed, classes, n, "pool", "day", "vehicle_year")
     return select.select_top1(
         signed, answers, n, "pool", "day", "broken_vehicle_reg", "own_sig", "own_in_pool"
@@ -199,16 +206,26 @@ def attach_vehicle_days(records: DataFrame, days: DataFrame) -> DataFrame:
     return records.join(own, on, "left").drop("__reg", "__day")
 
 
-def decide(inputs: Inputs, rules: Sequence[Rule] = tuple(DEFAULT_RULES), zone: str = T.DEFAULT_ZONE) -> Decision:
-    """Decide every record of the queue."""
-    admitted, invalid, orphans = admit(inputs.tickets, inputs.fleet, zone)
-    probes = admitted.select(
-        F.col("broken_vehicle_reg").alias("reg_canon"), "day", F.lit(False).alias("in_pool")
-    ).unionByName(pool_probes(inputs.fleet, admitted))
-    days = vehicle_days(inputs.fleet, inputs.history, probes)
-    records = attach_vehicle_days(build_facts(admitted, inputs.people), days)
-    sourced = choose_source(classify(records, rules), rules)
-    decided = select_candidates(sourced, days, rules)
+def all_probes(fleet: DataFrame, admitted: DataFrame) -> DataFrame:
+    """Every (reg, day) a run asks about: the broken vehicles and the pools."""
+    own = admitted.select(F.col("broken_vehicle_reg").alias("reg_canon"), "day", F.lit(False).alias("in_pool"))
+    return own.unionByName(pool_probes(fleet, admitted))
+
+
+def decide(
+    inputs: Inputs, rules: Sequence[Rule] = tuple(DEFAULT_RULES), zone: str = T.DEFAULT_ZONE, keep: Keep = stage
+) -> Decision:
+    """Decide every record of the queue.
+
+    ``keep`` holds on to what several later steps read: by default it is written once to the shared
+    folder, so that no step recomputes another and a lost executor costs little.
+    """
+    fleet = keep(inputs.fleet, "fleet")
+    admitted, invalid, orphans = admit(inputs.tickets, fleet, zone)
+    facts = keep(build_facts(admitted, inputs.people), "facts")
+    days = keep(vehicle_days(fleet, inputs.history, all_probes(fleet, facts)), "vehicle-days")
+    sourced = choose_source(classify(attach_vehicle_days(facts, days), rules), rules)
+    decided = select_candidates(sourced, days, rules, keep)
     return Decision(
         with_citations(decided, rules), dedupe.dedupe_report(inputs.tickets, ["ticket_id"], ["pos"]), invalid, orphans
     )

@@ -230,8 +230,8 @@ QUEUE_FIELDS = [
 ]
 
 
-def ticket_rows(raw: DataFrame, salt: str = SALT, zone: str = T.DEFAULT_ZONE) -> DataFrame:
-    """Queue records in canonical form; the raw record is kept as masked text."""
+def ticket_rows(raw: DataFrame, zone: str = T.DEFAULT_ZONE) -> DataFrame:
+    """Queue records in canonical form, with the raw record as text for the quarantine to mask."""
     return raw.select(
         C.blank_to_null(F.trim("ticket_id")).alias("ticket_id"),
         T.parse_ts("created_at", zone).alias("created_at"),
@@ -246,7 +246,7 @@ def ticket_rows(raw: DataFrame, salt: str = SALT, zone: str = T.DEFAULT_ZONE) ->
         C.blank_to_null(F.upper(F.trim("status"))).alias("status"),
         C.blank_to_null("resolution_note").alias("resolution_note"),
         "pos",
-        P.mask_text(row_text(QUEUE_FIELDS), salt).alias("raw_json"),
+        row_text(QUEUE_FIELDS).alias("raw_json"),
     )
 
 
