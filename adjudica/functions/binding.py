@@ -1,4 +1,4 @@
-"""Naming an intermediate value inside one expression."""
+"""Naming an intermediate value inside one expression, and pattern helpers."""
 
 from __future__ import annotations
 
@@ -15,3 +15,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     until the generated code no longer compiles.
     """
     return F.get(F.transform(F.array(value), body), 0)
+
+
+_WORD = "[A-Za-z0-9_]"
+ASCII_BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
+
+
+def ascii_words(pattern: str) -> str:
+    """A pattern whose word boundaries look at ASCII letters only, on every Java version."""
+    return pattern.replace(r"\b", ASCII_BOUNDARY)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adjudica import vocabulary as V
-from adjudica.functions.binding import let
+from adjudica.functions.binding import ascii_words, let
 
 
 def _col(c: Column | str) -> Column:
@@ -37,7 +37,7 @@ def _squeeze(c: Column) -> Column:
 def party_base(c: Column | str, suffixes: str = V.COMPANY_SUFFIXES) -> Column:
     """A party name without punctuation and company suffixes, before any alias lookup."""
     spaced = F.regexp_replace(F.lower(_col(c)), "[.,]", " ")
-    return blank_to_null(_squeeze(F.regexp_replace(spaced, suffixes, " ")))
+    return blank_to_null(_squeeze(F.regexp_replace(spaced, ascii_words(suffixes), " ")))
 
 
 def slug(c: Column | str) -> Column:
@@ -70,7 +70,7 @@ def norm_place(
 ) -> Column:
     """A place's canonical name: exact alias, else the longest alias it contains, else a slug."""
     text = F.regexp_replace(F.lower(_col(c)), r"\(.*?\)", " ")
-    text = F.regexp_replace(F.regexp_replace(text, r"[^a-z\s]", " "), noise, " ")
+    text = F.regexp_replace(F.regexp_replace(text, r"[^a-z\s]", " "), ascii_words(noise), " ")
     known = literal_map(aliases)
     longest_first = F.array(*[F.lit(a) for a in sorted(aliases, key=len, reverse=True)])
 
@@ -136,5 +136,5 @@ def classify_text(
     text = blank_to_null(F.trim(_col(c)))
     label = F.when(text.isNull(), F.lit(None).cast("string"))
     for name, pattern in [*classes, *fallback_classes]:
-        label = label.when(text.rlike("(?i)" + pattern), F.lit(name))
+        label = label.when(text.rlike("(?i)" + ascii_words(pattern)), F.lit(name))
     return label.otherwise(F.lit(other))

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adjudica import vocabulary as V
+from adjudica.functions.binding import ascii_words
 
 # Separators between words, the same for questions and for documents.
 WORD_BREAK = r"""[\s,?.;:()"']+"""
@@ -32,7 +33,7 @@ def tag_intents(c: Column | str, intents: Sequence[tuple[str, str]] = tuple(V.IN
     """The names of all intents a question matches, in the vocabulary's order."""
     text = F.trim(_col(c))
     return F.array_compact(
-        F.array(*[F.when(text.rlike("(?i)" + regex), F.lit(name)) for name, regex in intents])
+        F.array(*[F.when(text.rlike("(?i)" + ascii_words(regex)), F.lit(name)) for name, regex in intents])
     )
 
 

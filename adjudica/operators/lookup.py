@@ -26,20 +26,6 @@ def lookup_left(
     return out.drop("__key")
 
 
-def candidates_by(
-    records: DataFrame, candidates: DataFrame, pool: str, candidate_pool: str, differ: tuple[str, str]
-) -> DataFrame:
-    """Every record with every candidate of its pool, except the record's own subject.
-
-    The output is as large as it sounds. ``operators.select`` answers the usual questions about
-    candidates without forming it.
-    """
-    mine, theirs = differ
-    return records.join(candidates, F.col(pool) == F.col(candidate_pool)).filter(
-        F.col(mine).isNull() | (F.col(mine) != F.col(theirs))
-    )
-
-
 def topk_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows per key with their rank; Spark prunes to ``k`` per key before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -152,7 +152,7 @@ def raw_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     ten = "lpad(cast(c_custkey % 100000000 as string), 8, '0')"
     return c.selectExpr(
-        "concat(case when c_custkey % 2 = 0 then 'drv ' else 'DRV-0' end, c_custkey) as driver_id",
+        "concat(case when c_custkey % 2 = 0 then 'drv ' else 'DRV--' end, c_custkey) as driver_id",
         "c_name as name",
         f"case when c_custkey % 3 = 0 then concat('+91 98', substr({ten}, 1, 3), ' ', substr({ten}, 4)) else concat('98', {ten}) end as phone",
         f"concat('HR-', lpad(cast(c_custkey % 100 as string), 2, '0'), ' 201', {ten}) as dl_number",
