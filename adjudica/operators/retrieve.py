@@ -33,13 +33,13 @@ def link_mentions(words: Column) -> dict[str, Column]:
         lambda k: F.length(k).between(8, 12) & k.rlike(r"^[A-Z]{2}\d"),
     )
     people = F.array_compact(
-        F.transform(F.filter(words, lambda w: w.rlike("(?i)drv")), C.norm_prefixed_id)
+        F.transform(F.filter(words, lambda w: w.rlike("(?i)drv")), lambda w: C.norm_prefixed_id(w))
     )
     parties = F.array_distinct(
-        F.transform(F.filter(words, lambda w: F.lower(w).isin(*V.PARTY_WORDS)), C.norm_alias)
+        F.transform(F.filter(words, lambda w: F.lower(w).isin(*V.PARTY_WORDS)), lambda w: C.norm_alias(w))
     )
     places = F.array_distinct(
-        F.transform(F.filter(words, lambda w: F.lower(w).isin(*V.PLACE_WORDS)), C.norm_place)
+        F.transform(F.filter(words, lambda w: F.lower(w).isin(*V.PLACE_WORDS)), lambda w: C.norm_place(w))
     )
     return {"vehicles": regs, "people": people, "parties": parties, "places": places}
 

@@ -169,7 +169,7 @@ def _unpivot(df: DataFrame, ids: Sequence[str], ctx: Mapping[str, Column], kinds
         null = F.lit(None)
         return F.struct(
             F.lit(key).alias("key"),
-            (col.cast("double") if kind == "num" else col.cast("double") if kind == "bool" else null.cast("double")).alias("a_num"),
+            (col.cast("double") if kind in ("num", "bool") else null.cast("double")).alias("a_num"),
             (col if kind == "str" else null.cast("string")).alias("a_str"),
             (col if kind == "bool" else null.cast("boolean")).alias("a_flag"),
             (col if kind == "array" else null.cast("array<string>")).alias("a_arr"),
@@ -177,7 +177,8 @@ def _unpivot(df: DataFrame, ids: Sequence[str], ctx: Mapping[str, Column], kinds
             (col.isNull() if col is not None else F.lit(False)).alias("absent"),
         )
 
-    entries = [entry(k, kinds[k], c) for k, c in ctx.items()]
+    types = {"num": "double", "str": "string", "bool": "boolean", "array": "array<string>"}
+    entries = [entry(k, kind, ctx.get(k, F.lit(None).cast(types[kind]))) for k, kind in kinds.items()]
     entries.append(entry(ALWAYS, "always", None))
     return df.select(*ids, F.explode(F.array(*entries)).alias("e")).select(*ids, "e.*")
 
@@ -214,20 +215,9 @@ def evaluate_rules_data(
     ctx = _context(df, context)
     live = active_rules(rules, step).select("rule_id", "effect", "priority")
     facts = _unpivot(df, ids, ctx, kinds)
-    absent_keys = [k for k in kinds if k not in ctx]
-    wanted = conditions.join(live, "rule_id")
-    tested = facts.join(wanted.filter(~F.col("key").isin(*absent_keys)), "key").select(
+    tested = facts.join(conditions.join(live, "rule_id"), "key").select(
         *ids, "rule_id", "effect", "priority", "pos", "key", "absent", F.expr(_MEETS).alias("meets")
     )
-    if absent_keys:
-        # A key the context never carries is missing for every record.
-        gaps = facts.filter(F.col("key") == ALWAYS).select(*ids, F.lit(1).alias("__one"))
-        lost = wanted.filter(F.col("key").isin(*absent_keys)).withColumn("__one", F.lit(1))
-        tested = tested.unionByName(
-            gaps.join(lost, "__one").select(
-                *ids, "rule_id", "effect", "priority", "pos", "key", F.lit(True).alias("absent"), F.lit(False).alias("meets")
-            )
-        )
     gone = F.when(F.col("absent"), F.struct("pos", "key"))
     judged = tested.groupBy(*ids, "rule_id", "effect", "priority").agg(
         F.array_sort(F.collect_set(gone)).alias("__gone"), F.bool_and("meets").alias("__holds")

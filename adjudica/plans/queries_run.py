@@ -309,11 +309,9 @@ def nearest_eligible(spark: SparkSession, sf: str) -> DataFrame:
     profiles = records.select("mon_free", "rec_sig", "prefer").distinct().join(pools, "mon_free")
     answers = select.profile_answers(profiles, classes, 2, "pool", "mon_free", "vehicle_year")
     place = F.array(*[F.lit(h) for h in O.HUBS])
-    distances = pools.select("pool").join(
-        pools.select(F.col("pool").alias("to_pool"), F.lit("any").alias("k")), F.lit("any") == F.col("k")
-    ).select(
-        F.col("pool").alias("from_pool"), "to_pool",
-        F.abs(F.array_position(place, F.col("pool")) - F.array_position(place, F.col("to_pool"))).alias("km"),
+    from_pool, to_pool = F.col("from_pool"), F.col("to_pool")
+    distances = pools.select(F.col("pool").alias("from_pool"), F.explode(place).alias("to_pool")).withColumn(
+        "km", F.abs(F.array_position(place, from_pool) - F.array_position(place, to_pool))
     )
     found = select.nearest_eligible(records, answers, distances, "origin_hub", "mon_free", "rec_sig")
     return found.filter("nearest_pool is not null").select("ticket_id", "nearest_pool")

@@ -40,7 +40,7 @@ def mask_text(spark: SparkSession, sf: str) -> DataFrame:
     return masked.select("doc_id", F.sha2("m", 256).alias("masked_hash"), F.length("m").cast("long").alias("masked_length"))
 
 
-def _sql_mask(text: str, kind: str, regex: str, canonical: str) -> str:
+def sql_mask(text: str, kind: str, regex: str, canonical: str) -> str:
     """One masking pass: the gaps between matches and the tokens of the matches, put together again."""
     return f"""array_to_string(list_transform(list_zip(
         regexp_split_to_array({text}, '{regex}'),
@@ -48,14 +48,14 @@ def _sql_mask(text: str, kind: str, regex: str, canonical: str) -> str:
       ), lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '')"""
 
 
-_EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-_IP_RE = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
+EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+IP_RE = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
 
 
 @query("mask_text_kinds", f"""
-    with a as (select doc_id, {_sql_mask('text', 'EMAIL', _EMAIL_RE, 'lower(m)')} as text from documents),
-    b as (select doc_id, {_sql_mask('text', 'IP', _IP_RE, "regexp_replace(upper(m), '[^A-Z0-9]', '', 'g')")} as text from a),
-    c as (select doc_id, {_sql_mask('text', 'NUMBER', '[0-9]{9,}', 'm')} as text from b)
+    with a as (select doc_id, {sql_mask('text', 'EMAIL', EMAIL_RE, 'lower(m)')} as text from documents),
+    b as (select doc_id, {sql_mask('text', 'IP', IP_RE, "regexp_replace(upper(m), '[^A-Z0-9]', '', 'g')")} as text from a),
+    c as (select doc_id, {sql_mask('text', 'NUMBER', '[0-9]{9,}', 'm')} as text from b)
     select doc_id, sha256(text) as masked_hash from c
 """)
 def mask_text_kinds(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +93,7 @@ def find_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("find_pii_kinds", f"""
-    select doc_id, (len(regexp_extract_all(text, '{_EMAIL_RE}'))) as n_email, len(regexp_extract_all(text, '{_IP_RE}')) as n_ip,
+    select doc_id, (len(regexp_extract_all(text, '{EMAIL_RE}'))) as n_email, len(regexp_extract_all(text, '{IP_RE}')) as n_ip,
       len(regexp_extract_all(text, '[0-9]{{9,}}')) as n_number from documents
 """)
 def find_pii_kinds(spark: SparkSession, sf: str) -> DataFrame:
