@@ -77,6 +77,17 @@ def parse_ts(
     return let(let(F.trim(_col(c)), parse), in_range)
 
 
+def parse_date(c: Column | str, zone: str = DEFAULT_ZONE, years: tuple[int, int] = (2000, 2100)) -> Column:
+    """The calendar date, in ``zone``, of text ``parse_ts`` reads; plain dates take a short way."""
+
+    def parse(s: Column) -> Column:
+        plain = s.try_cast("date")
+        short = F.when(F.year(plain).between(*years), plain)
+        return F.when(s.rlike(_NAIVE_DATE), short).otherwise(local_date(parse_ts(s, zone, years=years), zone))
+
+    return let(F.trim(_col(c)), parse)
+
+
 def parse_serial(c: Column | str, zone: str = DEFAULT_ZONE) -> Column:
     """A spreadsheet day number between 20000 and 60000, as that many days after 1899-12-30 in ``zone``."""
     days = _col(c).cast("double")

@@ -7,18 +7,21 @@ many rows the key has, so a hot key cannot overload a task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def asof_latest(
-    probes: DataFrame, history: DataFrame, key: str, at: str, on: str, predicates: Mapping[str, Column]
+    probes: DataFrame, history: DataFrame, key: str, at: str, on: str, predicates: Mapping[str, Column],
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Per distinct (key, asked day): for each predicate, the latest day on or before it with a matching entry.
+    """For every asked (key, day): for each predicate, the latest day on or before it with a matching entry.
 
-    One pass over history and probes together serves all predicates.
+    One pass over history and probes together serves all predicates. Without ``carry`` the probes are
+    made distinct first. With it they are taken as they are, and the named columns come along; the
+    caller then sees to it that a key and a day do not repeat without bound.
     """
     days = (
         history.filter(F.col(key).isNotNull() & F.col(on).isNotNull())
@@ -29,24 +32,21 @@ def asof_latest(
             *[F.when(F.col(n), F.col("__day")).alias(n) for n in predicates],
         )
     )
-    asks = (
-        probes.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
-        .select(key, F.col(at).alias("__day"))
-        .distinct()
-        .select(
-            key, "__day", F.lit(1).alias("__ask"),
-            *[F.lit(None).cast("date").alias(n) for n in predicates],
-        )
+    known = probes.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+    asked = known.select(key, at).distinct() if carry is None else known.select(key, at, *carry)
+    asks = asked.select(
+        key, F.col(at).alias("__day"), F.lit(1).alias("__ask"),
+        *[F.lit(None).cast("date").alias(n) for n in predicates], *(carry or []),
     )
     upto = (
         Window.partitionBy(key).orderBy("__day", "__ask")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        days.unionByName(asks)
-        .select(key, "__day", "__ask", *[F.max(n).over(upto).alias(n) for n in predicates])
+        days.unionByName(asks, allowMissingColumns=True)
+        .select(key, "__day", "__ask", *[F.max(n).over(upto).alias(n) for n in predicates], *(carry or []))
         .filter("__ask = 1")
-        .select(key, F.col("__day").alias(at), *predicates)
+        .select(key, F.col("__day").alias(at), *predicates, *(carry or []))
     )
 
 

@@ -14,6 +14,7 @@ from adjudica.functions import canonical as C
 from adjudica.functions import text as X
 from adjudica.operators.lookup import topk_per_key
 from adjudica.rulebook import Rule, ordered
+from adjudica.session import stage
 
 MAX_TERMS = 6
 HITS_PER_TERM = 40
@@ -181,7 +182,8 @@ def _text(*parts: Column | str) -> Column:
 def evidence(parsed: DataFrame, store: Store, rules: Sequence[Rule]) -> DataFrame:
     """All lines of all answers: question_id, section, pos, line, source."""
     c = F.col
-    vehicles = fetch_entities(parsed, store.fleet)
+    # Five sections read the covered vehicles, so they are found once.
+    vehicles = stage(fetch_entities(parsed, store.fleet), "covered")
     details = F.concat_ws(
         ", ", c("year").cast("string"), c("model"), c("bs_stage"),
         F.when(c("engine_heater"), "engine heater").when(~c("engine_heater"), "no engine heater"),

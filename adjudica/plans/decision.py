@@ -76,11 +76,9 @@ def calendar_facts(ts: str = "created_at", zone: str = T.DEFAULT_ZONE) -> dict[s
 
 
 def vehicle_days(fleet: DataFrame, history: DataFrame, probes: DataFrame) -> DataFrame:
-    """Facts of every probed (reg, day); ``in_pool`` marks the ones asked for as candidates."""
-    asked = probes.groupBy("reg_canon", "day").agg(F.bool_or("in_pool").alias("in_pool"))
-    latest = asof.asof_latest(asked, history, "reg_canon", "day", "date", history_predicates())
-    # The two large sides meet on (reg, day); the fleet side has one row per vehicle.
-    known = asked.join(latest, ["reg_canon", "day"], "left").join(fleet, "reg_canon")
+    """Facts of every probed (reg, day); ``in_pool`` tells candidates from broken vehicles."""
+    latest = asof.asof_latest(probes, history, "reg_canon", "day", "date", history_predicates(), carry=["in_pool"])
+    known = latest.join(fleet, "reg_canon")
     return known.select("reg_canon", "day", "home_hub", "in_pool", *[c.alias(n) for n, c in vehicle_facts().items()])
 
 
@@ -201,15 +199,23 @@ def select_candidates(
 
 def attach_vehicle_days(records: DataFrame, days: DataFrame) -> DataFrame:
     """Records with their own vehicle's facts on their own day."""
-    own = days.drop("home_hub", "in_pool").withColumnsRenamed({"reg_canon": "__reg", "day": "__day"})
+    own = days.filter("not in_pool").drop("home_hub", "in_pool").withColumnsRenamed({"reg_canon": "__reg", "day": "__day"})
     on = (F.col("broken_vehicle_reg") == F.col("__reg")) & (F.col("day") == F.col("__day"))
     return records.join(own, on, "left").drop("__reg", "__day")
 
 
 def all_probes(fleet: DataFrame, admitted: DataFrame) -> DataFrame:
-    """Every (reg, day) a run asks about: the broken vehicles and the pools."""
-    own = admitted.select(F.col("broken_vehicle_reg").alias("reg_canon"), "day", F.lit(False).alias("in_pool"))
-    return own.unionByName(pool_probes(fleet, admitted))
+    """Every (reg, day) a run asks about: the broken vehicles and the pools. Each kind has a pair once.
+
+    The pools need no dedupe: a vehicle has one hub, and a hub's days are distinct.
+    """
+    return own_probes(admitted).unionByName(pool_probes(fleet, admitted))
+
+
+def own_probes(admitted: DataFrame) -> DataFrame:
+    """(reg, day) of the broken vehicles."""
+    pairs = admitted.select(F.col("broken_vehicle_reg").alias("reg_canon"), "day").distinct()
+    return pairs.withColumn("in_pool", F.lit(False))
 
 
 def decide(

@@ -16,6 +16,7 @@ from adjudica.functions import temporal as T
 from adjudica.functions.identity import row_text
 from adjudica.operators import dedupe, resolve
 from adjudica.plans.decision import Inputs
+from adjudica.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -44,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus, spread for per-text work."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
 def _pick(values: list[str], index: str) -> str:
     listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
     return f"element_at(array({listed}), cast(({index}) % {len(values)} as int) + 1)"
@@ -106,8 +112,10 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maintenance log rows from line items. Few vehicles carry most of the log, some carry none."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_extendedprice"
+    li = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_extendedprice"
+        )
     )
     owner = li.withColumn(
         "owner", F.expr("case when l_linenumber = 1 then l_suppkey else l_suppkey - l_suppkey % 7 end")
@@ -133,7 +141,7 @@ HISTORY_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_exte
 def history_rows(raw: DataFrame, salt: str = SALT) -> DataFrame:
     """Log rows in canonical form, notes masked, rows without a vehicle dropped."""
     return raw.select(
-        T.local_date(T.parse_ts("date")).alias("date"),
+        T.parse_date("date").alias("date"),
         C.norm_key("vehicle").alias("reg_canon"),
         C.norm_num("odometer_km").cast("long").alias("odometer_km"),
         C.blank_to_null("mechanic").alias("mechanic"),
@@ -149,7 +157,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster rows from customers, with personal data in several spellings."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    c = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"))
     ten = "lpad(cast(c_custkey % 100000000 as string), 8, '0')"
     return c.selectExpr(
         "concat(case when c_custkey % 2 = 0 then 'drv ' else 'DRV--' end, c_custkey) as driver_id",
@@ -173,7 +181,7 @@ def people_rows(raw: DataFrame, salt: str = SALT, width: int = P.TOKEN_WIDTH) ->
         P.mask_column("phone", "PHONE", salt, width).alias("phone_masked"),
         P.mask_column("dl_number", "DL", salt, width).alias("dl_masked"),
         P.mask_column("aadhaar", "AADHAAR", salt, width).alias("aadhaar_masked"),
-        T.local_date(T.parse_ts("joining_date")).alias("joining_date"),
+        T.parse_date("joining_date").alias("joining_date"),
         C.norm_place("home_hub").alias("home_hub"),
         "source_row",
     ).filter("driver_id is not null")
@@ -186,7 +194,9 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_tickets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = spread(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    )
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     # One row, one number: how many vehicles there are.
     size = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n"))

@@ -133,11 +133,9 @@ admitted as (
 # Every asked (vehicle, day) and its facts: own vehicles and pool vehicles.
 VEHICLE_DAYS = """
 asked as (
-  select reg_canon, day, bool_or(pool) as in_pool from (
-    select vehicle_reg as reg_canon, day, false as pool from admitted
-    union all
-    select f.reg_canon, d.day, true from fleet f join (select distinct origin_hub, day from admitted) d on f.home_hub = d.origin_hub
-  ) group by 1, 2
+  select distinct vehicle_reg as reg_canon, day, false as in_pool from admitted
+  union all
+  select f.reg_canon, d.day, true from fleet f join (select distinct origin_hub, day from admitted) d on f.home_hub = d.origin_hub
 ),
 h_all as (select reg_canon, day as last_service from history group by all),
 h_brake as (select reg_canon, day as last_brake from history where is_brake group by all),

@@ -173,7 +173,7 @@ doc_hits as (
 @query("search_documents", O.with_(_QUESTIONS, _PARSED, _DOC_HITS) + "select question_id, pos, doc_id from doc_hits")
 def search_documents(spark: SparkSession, sf: str) -> DataFrame:
     parsed = stage(retrieve.parse_questions(questions(spark, sf)), "parsed")
-    hits = retrieve.search_documents(parsed, D.table(spark, sf, "documents"))
+    hits = retrieve.search_documents(parsed, D.documents(spark, sf))
     return hits.select("question_id", F.col("pos").cast("long").alias("pos"), "doc_id")
 
 
@@ -188,12 +188,12 @@ _SNIPPET = """
 """)
 def snippet(spark: SparkSession, sf: str) -> DataFrame:
     words = F.array(F.lit("ing"), F.lit("ent"), F.lit("que"))
-    return D.table(spark, sf, "documents").select("doc_id", F.sha2(X.snippet("text", words), 256).alias("snippet_hash"))
+    return D.documents(spark, sf).select("doc_id", F.sha2(X.snippet("text", words), 256).alias("snippet_hash"))
 
 
 def store(spark: SparkSession, sf: str) -> retrieve.Store:
     """What answers are drawn from."""
-    docs = D.table(spark, sf, "documents").select(
+    docs = D.documents(spark, sf).select(
         "doc_id", P.mask_text("text", D.SALT, patterns=(*P.DEFAULT_PATTERNS, *CORPUS_PATTERNS)).alias("text")
     )
     return retrieve.Store(

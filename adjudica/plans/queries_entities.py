@@ -279,7 +279,7 @@ def run_vehicle_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _one_fact(name: str, sql: str):
-    @query(name, O.with_(*O.RUN[:6]) + f"select ticket_id, {sql} as fact from admitted t join vdays v on t.vehicle_reg = v.reg_canon and t.day = v.day")
+    @query(name, O.with_(*O.RUN[:6]) + f"select ticket_id, {sql} as fact from admitted t join vdays v on t.vehicle_reg = v.reg_canon and t.day = v.day and not v.in_pool")
     def run(spark: SparkSession, sf: str, fact: str = name) -> DataFrame:
         fleet = decision.stage(D.fleet(spark, sf), "fleet")
         admitted, _, _ = decision.admit(D.tickets(spark, sf), fleet, T.DEFAULT_ZONE)

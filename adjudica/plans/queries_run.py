@@ -32,8 +32,8 @@ def own_facts(spark: SparkSession, sf: str) -> DataFrame:
     fleet = decision.stage(D.fleet(spark, sf), "fleet")
     admitted, _, _ = decision.admit(D.tickets(spark, sf), fleet, T.DEFAULT_ZONE)
     kept = decision.stage(decision.build_facts(admitted, D.people(spark, sf)), "facts")
-    probes = kept.select(F.col("broken_vehicle_reg").alias("reg_canon"), "day", F.lit(False).alias("in_pool"))
-    return decision.attach_vehicle_days(kept, decision.vehicle_days(fleet, D.history(spark, sf), probes))
+    days = decision.vehicle_days(fleet, D.history(spark, sf), decision.own_probes(kept))
+    return decision.attach_vehicle_days(kept, days)
 
 
 def decided(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +55,7 @@ judged as (
     case when t.km is null then 'M' when t.km <= 50 then 'T' else 'F' end as near,
     case when t.km is null then 'M' when t.km > 50 then 'T' else 'F' end as far,
     {O.LETTERS[5][1]} as r5
-  from admitted t join vdays v on t.vehicle_reg = v.reg_canon and t.day = v.day
+  from admitted t join vdays v on t.vehicle_reg = v.reg_canon and t.day = v.day and not v.in_pool
 )"""
 _SELECT_ORDER = [
     ("R-BS4-NCR-WINTER", "r0", None), ("R-HILL-BRAKE-30", "r1", None), ("R-HILL-HEATER", "r2", "vehicle_has_heater"),

@@ -24,7 +24,7 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
         when doc_id % 3 = 0 then concat(' Call +91 98', substr({ten}, 1, 3), ' ', substr({ten}, 4), ' today.')
         when doc_id % 3 = 1 then concat(' Holds 4444 ', substr({ten}, 1, 4), ' ', substr({ten}, 5), ' and 98', {ten})
         else concat(' Licence hr-20 201', {ten}, '.') end"""
-    return D.table(spark, sf, "documents").select("doc_id", "lang", "source", F.expr(f"concat(text, {line})").alias("text"))
+    return D.documents(spark, sf).select("doc_id", "lang", "source", F.expr(f"concat(text, {line})").alias("text"))
 
 
 _TEN = "lpad(cast(doc_id % 100000000 as varchar), 8, '0')"
@@ -59,7 +59,7 @@ IP_RE = r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
     select doc_id, sha256(text) as masked_hash from c
 """)
 def mask_text_kinds(spark: SparkSession, sf: str) -> DataFrame:
-    docs = D.table(spark, sf, "documents").select("doc_id", P.mask_text("text", D.SALT, patterns=CORPUS_PATTERNS).alias("m"))
+    docs = D.documents(spark, sf).select("doc_id", P.mask_text("text", D.SALT, patterns=CORPUS_PATTERNS).alias("m"))
     return docs.select("doc_id", F.sha2("m", 256).alias("masked_hash"))
 
 
@@ -97,7 +97,7 @@ def find_pii(spark: SparkSession, sf: str) -> DataFrame:
       len(regexp_extract_all(text, '[0-9]{{9,}}')) as n_number from documents
 """)
 def find_pii_kinds(spark: SparkSession, sf: str) -> DataFrame:
-    hits = D.table(spark, sf, "documents").select("doc_id", P.find_pii("text", CORPUS_PATTERNS).alias("h"))
+    hits = D.documents(spark, sf).select("doc_id", P.find_pii("text", CORPUS_PATTERNS).alias("h"))
 
     def count(kind: str) -> F.Column:
         return F.size(F.filter("h", lambda x: x["kind"] == kind)).cast("long")
@@ -127,7 +127,7 @@ _STOP = "[" + ", ".join(f"'{w}'" for w in X.V.STOP_WORDS) + "]"
       select *, list_filter(list_transform({_WORDS}, lambda w: lower(w)), lambda w: length(w) > 2 and not list_contains({_STOP}, w)) as kw from documents)
 """)
 def tokenize(spark: SparkSession, sf: str) -> DataFrame:
-    docs = D.table(spark, sf, "documents").select("doc_id", X.words("text").alias("w"), X.tokenize("text").alias("k"))
+    docs = D.documents(spark, sf).select("doc_id", X.words("text").alias("w"), X.tokenize("text").alias("k"))
     return docs.select(
         "doc_id", F.size("w").cast("long").alias("n_words"), F.size("k").cast("long").alias("n_keywords"),
         F.sha2(F.array_join("k", " "), 256).alias("keywords_hash"),
@@ -136,7 +136,7 @@ def tokenize(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("content_id", "select doc_id, 'DOC-' || substr(sha256(text), 1, 12) as content_id from documents")
 def doc_content_id(spark: SparkSession, sf: str) -> DataFrame:
-    return D.table(spark, sf, "documents").select("doc_id", content_id("DOC", "text").alias("content_id"))
+    return D.documents(spark, sf).select("doc_id", content_id("DOC", "text").alias("content_id"))
 
 
 @query("parse_json_col", """
