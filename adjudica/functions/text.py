@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adjudica import vocabulary as V
-from adjudica.functions.binding import ascii_words
+from adjudica.functions.binding import ascii_words, let
 
 # Separators between words, the same for questions and for documents.
 WORD_BREAK = r"""[\s,?.;:()"']+"""
@@ -23,6 +23,13 @@ def words(c: Column | str) -> Column:
     return F.filter(F.split(F.trim(_col(c)), WORD_BREAK), lambda w: w != "")
 
 
+def distinct_sorted(array: Column) -> Column:
+    """The distinct values of an array, sorted: n log n, where ``array_distinct`` compares all text pairs."""
+    return let(
+        F.sort_array(array), lambda s: F.filter(s, lambda w, i: (i == 0) | (w != F.get(s, i - 1)))
+    )
+
+
 def tokenize(c: Column | str, stop: Sequence[str] = V.STOP_WORDS, min_length: int = 3) -> Column:
     """Keywords: lower case, at least ``min_length`` letters, no stop words, in order."""
     lowered = F.transform(words(c), F.lower)

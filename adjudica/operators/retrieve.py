@@ -19,6 +19,8 @@ from adjudica.session import stage
 MAX_TERMS = 6
 HITS_PER_TERM = 40
 MAX_DOCUMENTS = 4
+MIN_TERM = 3
+KEY_LENGTH = 12
 MAX_RULES = 6
 MAX_HUB_VEHICLES = 12
 MAX_HISTORY_LINES = 8
@@ -121,21 +123,23 @@ def _hint(party: Column, hints: Mapping[str, Sequence[str]], none: Column) -> Co
 def term_hits(terms: DataFrame, docs: DataFrame, doc_id: str, text: str, limit: int = HITS_PER_TERM) -> DataFrame:
     """(term, doc_id, rank): the first documents, by id, whose text contains the term in any case.
 
-    Terms hold no separators, so a document contains a term exactly if one of its words does. Terms are
-    matched against the corpus vocabulary, which grows far slower than the corpus: term and word meet
-    on the term's first three letters among the word's three-letter pieces. Documents are then found
-    by word. Nothing pairs terms with documents.
+    Terms hold no separators, so a document contains a term exactly if one of its words does. Of each
+    word only the first ``limit`` documents can matter, so a word of every document costs no more than
+    a rare one. Terms then meet the vocabulary, which grows far slower than the corpus, by equality: a
+    term's first letters against the pieces of each word of up to as many letters.
     """
-    lowered = F.lower(F.col(text))
-    postings = docs.select(
-        doc_id, F.explode(F.array_distinct(F.filter(F.split(lowered, X.WORD_BREAK), lambda w: w != ""))).alias("word")
+    long_enough = F.filter(F.split(F.lower(F.col(text)), X.WORD_BREAK), lambda w: F.length(w) >= MIN_TERM)
+    postings = docs.select(doc_id, F.explode(X.distinct_sorted(long_enough)).alias("word"))
+    heads = stage(topk_per_key(postings, ["word"], [F.col(doc_id)], limit), "postings")
+    # (start, length) of every piece, as rows: the second explode only sees the vocabulary.
+    starts = heads.filter("rank = 1").select("word", F.explode(F.sequence(F.lit(1), F.length("word") - (MIN_TERM - 1))).alias("i"))
+    ends = F.least(F.lit(KEY_LENGTH), F.length("word") - F.col("i") + 1)
+    by_piece = starts.select("word", "i", F.explode(F.sequence(F.lit(MIN_TERM), ends)).alias("n")).select(
+        "word", F.substring("word", F.col("i"), F.col("n")).alias("piece")
     )
-    words = postings.select("word").distinct()
-    pieces = F.transform(F.sequence(F.lit(1), F.length("word") - 2), lambda i: F.substring(F.col("word"), i, F.lit(3)))
-    by_piece = words.filter(F.length("word") >= 3).select("word", F.explode(F.array_distinct(pieces)).alias("piece"))
-    wanted = terms.select("term").distinct().withColumn("piece", F.substring("term", 1, 3))
-    matched = by_piece.join(wanted, "piece").filter(F.contains(F.col("word"), F.col("term"))).select("word", "term")
-    found = postings.join(matched, "word").select("term", doc_id).distinct()
+    wanted = terms.select("term").distinct().withColumn("piece", F.substring("term", 1, KEY_LENGTH))
+    matched = by_piece.join(wanted, "piece").filter(F.contains(F.col("word"), F.col("term"))).select("word", "term").distinct()
+    found = heads.join(matched, "word").select("term", doc_id).distinct()
     return topk_per_key(found, ["term"], [F.col(doc_id)], limit)
 
 
@@ -144,7 +148,7 @@ def search_terms(parsed: DataFrame, limit: int = MAX_TERMS) -> DataFrame:
     parties = F.transform("parties", lambda p: F.split_part(p, F.lit("_"), F.lit(1)))
     return parsed.select(
         "question_id", F.posexplode(F.slice(F.concat(parties, F.col("keywords")), 1, limit)).alias("pos", "term")
-    ).filter(F.length("term") >= 3)
+    ).filter(F.length("term") >= MIN_TERM)
 
 
 def search_documents(
