@@ -47,13 +47,13 @@ def tag_intents(c: Column | str, intents: Sequence[tuple[str, str]] = tuple(V.IN
 def snippet(text: Column | str, keywords: Column | str, width: int = 240) -> Column:
     """``width`` characters around the earliest keyword, or the head of the text if none occurs."""
     t, ks = _col(text), _col(keywords)
-    lowered = F.lower(t)
-    spots = F.filter(F.transform(ks, lambda k: F.instr(lowered, k)), lambda i: i > 0)
-    first = F.array_min(spots)
-    start = F.greatest(F.lit(1), first - width // 3)
-    cut = F.concat(
-        F.when(start > 1, F.lit("…")).otherwise(F.lit("")),
-        F.trim(F.substring(t, start, F.lit(width))),
-        F.lit("…"),
-    )
-    return F.when(first.isNull(), F.trim(F.substring(t, 1, width))).otherwise(cut)
+    spots = let(F.lower(t), lambda low: F.filter(F.transform(ks, lambda k: F.instr(low, k)), lambda i: i > 0))
+
+    def around(first: Column) -> Column:
+        start = F.greatest(F.lit(1), first - width // 3)
+        cut = F.concat(
+            F.when(start > 1, F.lit("…")).otherwise(F.lit("")), F.trim(F.substring(t, start, F.lit(width))), F.lit("…")
+        )
+        return F.when(first.isNull(), F.trim(F.substring(t, 1, width))).otherwise(cut)
+
+    return let(F.array_min(spots), around)

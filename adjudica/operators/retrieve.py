@@ -206,7 +206,8 @@ def evidence(parsed: DataFrame, store: Store, rules: Sequence[Rule]) -> DataFram
         )
     )
     named_people = parsed.select("question_id", F.posexplode("people").alias("pos", "driver_id"))
-    people_lines = named_people.join(store.people, "driver_id").select(
+    known_people = stage(named_people.join(store.people, "driver_id"), "known-people")
+    people_lines = known_people.select(
         *_line(
             3, c("pos"),
             _text(c("driver_id"), " ", c("name"), ", joined ", c("joining_date"), ", home hub ", c("home_hub"),
@@ -230,18 +231,18 @@ def evidence(parsed: DataFrame, store: Store, rules: Sequence[Rule]) -> DataFram
         *_line(5, c("pos") * 10 + c("rank"), _text("  ", c("date"), "  ", c("odometer_km"), " km  ", c("mechanic"), ": ", c("notes")),
                _text("history:", c("reg_canon"), ":", c("date")))
     )
-    rule_hits = search_rules(parsed, rules)
+    rule_hits = stage(search_rules(parsed, rules), "rule-hits")
     by_id = {r.id: r for r in rules}
     said = reduce(
         lambda acc, r: F.when(c("rule_id") == r.id, F.lit(f"{r.id} - {r.name}: {r.reason or r.effect}. \"{r.quote}\"" + ("" if r.implemented is not False else " [not enforced]"))).otherwise(acc),
         by_id.values(), F.lit(None).cast("string"),
     )
     rule_lines = rule_hits.select(*_line(6, c("pos"), said, _text("rules#", c("rule_id"))))
-    found = vehicles.select("question_id").unionByName(rule_hits.select("question_id")).unionByName(people_lines.select("question_id"))
+    found = vehicles.select("question_id").unionByName(rule_hits.select("question_id")).unionByName(known_people.select("question_id"))
     wants_docs = parsed.filter(F.size("parties") > 0).unionByName(
         parsed.filter(F.size("parties") == 0).join(found, "question_id", "left_anti")
     )
-    docs = search_documents(wants_docs, store.documents)
+    docs = search_documents(stage(wants_docs, "wants-documents"), store.documents)
     doc_lines = (
         docs.join(store.documents, "doc_id")
         .join(parsed.select("question_id", "keywords"), "question_id")

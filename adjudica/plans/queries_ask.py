@@ -17,7 +17,7 @@ from adjudica.plans import oracle as O
 from adjudica.plans.queries_entities import fleet_conflicts
 from adjudica.plans.queries_text import CORPUS_PATTERNS, EMAIL_RE, IP_RE, sql_mask
 from adjudica.plans.registry import query
-from adjudica.session import stage
+from adjudica.session import spread, stage
 
 _HUB_WORDS = ["ambala", "chandigarh", "delhi", "gurugram", "jaipur", "kanpur", "lucknow", "ludhiana", "rudrapur"]
 _PARTY_WORDS = {"AUTOMOBILE": "Shakti", "BUILDING": "Orion", "FURNITURE": "vertex", "MACHINERY": "APEX", "HOUSEHOLD": "internal"}
@@ -38,7 +38,8 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
         t("customer").selectExpr("c_custkey * 10 + 7 as question_id", f"concat('What is the sla hours for ', case c_mktsegment {party} end, ' under R-SHAKTI-36H?') as text"),
         t("region").selectExpr("r_regionkey * 10L + 8 as question_id", "concat('zzqx ', r_regionkey) as text"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    # Written once: otherwise every later expression is planned once per part of the union.
+    return spread(stage(reduce(DataFrame.unionByName, parts), "questions"))
 
 
 _QUESTIONS = f"""
@@ -197,8 +198,9 @@ def store(spark: SparkSession, sf: str) -> retrieve.Store:
         "doc_id", P.mask_text("text", D.SALT, patterns=(*P.DEFAULT_PATTERNS, *CORPUS_PATTERNS)).alias("text")
     )
     return retrieve.Store(
-        fleet=stage(D.fleet(spark, sf), "fleet"), people=D.people(spark, sf), history=D.history(spark, sf),
-        conflicts=fleet_conflicts(spark, sf), documents=stage(docs, "documents"),
+        fleet=stage(D.fleet(spark, sf), "fleet"), people=stage(D.people(spark, sf), "people"),
+        history=stage(D.history(spark, sf), "history"), conflicts=stage(fleet_conflicts(spark, sf), "conflicts"),
+        documents=stage(docs, "documents"),
     )
 
 
