@@ -310,7 +310,9 @@ def nearest_eligible(spark: SparkSession, sf: str) -> DataFrame:
     answers = select.profile_answers(profiles, classes, 2, "pool", "mon_free", "vehicle_year")
     place = F.array(*[F.lit(h) for h in O.HUBS])
     from_pool, to_pool = F.col("from_pool"), F.col("to_pool")
-    distances = pools.select(F.col("pool").alias("from_pool"), F.explode(place).alias("to_pool")).withColumn(
+    # Every hub records come from, also one without vehicles of its own.
+    origins = records.select(F.col("origin_hub").alias("from_pool")).distinct()
+    distances = origins.select("from_pool", F.explode(place).alias("to_pool")).withColumn(
         "km", F.abs(F.array_position(place, from_pool) - F.array_position(place, to_pool))
     )
     found = select.nearest_eligible(records, answers, distances, "origin_hub", "mon_free", "rec_sig")
