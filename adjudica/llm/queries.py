@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import sentencepiece_table
-from adjudica.llm.shared import table
+from adjudica.llm import language_ppm, sentencepiece_table, superminhash, toxicity_mil
+from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +16,7 @@ QUERIES: dict[str, Query] = {}
 
 def _query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     def register(run: Run) -> Run:
-        QUERIES[name] = Query(run, sql)
+        QUERIES[name] = Query(lambda spark, sf_dir: run(workers_find_package(spark), sf_dir), sql)
         return run
 
     return register
@@ -38,3 +38,28 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@_query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = language_ppm.fit(docs.where(~held_out))
+    found = language_ppm.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@_query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity_mil.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out))
+    found = toxicity_mil.score(docs, model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending"
+    )
+
+
+@_query("op2_near_duplicates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))

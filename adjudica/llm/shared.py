@@ -21,7 +21,7 @@ def ascii_lower(text: Column) -> Column:
 
 def fold(id_column: Column, parts: int) -> Column:
     """crc32 of the id as text modulo ``parts``: how rows are held out, whatever their number."""
-    return F.crc32(id_column.cast("string").cast("binary")) % parts
+    return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % parts
 
 
 def sample_filter(id_column: Column, rows: int, wanted: int, salt: int) -> Column:
@@ -32,3 +32,15 @@ def sample_filter(id_column: Column, rows: int, wanted: int, salt: int) -> Colum
     if rows <= wanted:
         return F.lit(True)
     return F.pmod(F.xxhash64(id_column, F.lit(salt)), F.lit(1_000_000_007)) < int(1_000_000_007 * wanted / rows)
+
+
+def workers_find_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, if it isn't installed for them."""
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
