@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_ppm, sentencepiece_table, superminhash, toxicity_mil
+from adjudica.llm import language_ppm, sentencepiece_table, superminhash, toxicity_mil, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -63,3 +63,37 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_near_duplicates")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+_WORDS_SQL = r"""regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_OP10_SQL = f"""
+with d as (select doc_id, {_WORDS_SQL.format('text')} w from documents),
+b as (select item_id, {_WORDS_SQL.format('text')} w from benchmark),
+bw as (select item_id, least(len(w), 10) n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') t
+       from b, lateral (select unnest(range(1, greatest(len(w) - 10, 0) + 2)) s) where len(w) > 0),
+lens as (select distinct n from bw),
+dw as (select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') t
+       from d, lens, lateral (select unnest(range(1, len(w) - n + 2)) s)),
+hits as (select dw.doc_id, dw.s, dw.n, bw.item_id from dw join bw on dw.t = bw.t and dw.n = bw.n),
+hw as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(s, s + n)) p from hits) group by 1),
+hi as (select doc_id, count(*) n_items, string_agg(i, ',' order by i) l
+       from (select distinct doc_id, cast(item_id as varchar) i from hits) group by 1)
+select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit,
+  cast(coalesce(n_items, 0) as bigint) n_items, sha256(coalesce(l, '')) items_sha256, coalesce(n_hit, 0) > 0 contaminated
+from d left join hw using (doc_id) left join hi using (doc_id)
+"""
+
+
+@_query("op10_decontamination", _OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = winnowing.contamination(docs, items)
+    return found.select(
+        "doc_id",
+        "n_words",
+        winnowing.covered(F.col("hits")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )

@@ -44,3 +44,17 @@ def workers_find_package(spark: SparkSession) -> SparkSession:
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
     return spark
+
+
+WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text: runs of a-z, 0-9 and characters beyond ASCII, after A-Z went to lower case."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), WORD_BREAK), "")
+
+
+def upto(start: int | Column, end: Column) -> Column:
+    """The whole numbers from ``start`` to ``end``, none if ``end`` is smaller."""
+    first = F.lit(start).cast("int") if isinstance(start, int) else start
+    return F.when(end >= first, F.sequence(first, end)).otherwise(F.array().cast("array<int>"))
