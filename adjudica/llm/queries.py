@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_ppm, sentencepiece_table, superminhash, toxicity_mil, winnowing
+from adjudica.llm import language_ppm, multiset_hash, sentencepiece_table, superminhash, toxicity_mil, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -97,3 +97,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@_query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multiset_hash.with_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        multiset_hash.as_text(F.col("vector")).alias("fingerprint"),
+        multiset_hash.as_text(F.col("edited_vector")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
