@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_ppm, multiset_hash, sentencepiece_table, superminhash, toxicity_mil, winnowing
+from adjudica.llm import language_ppm, license_setjoin, multiset_hash, sentencepiece_table, superminhash, toxicity_mil, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -111,3 +111,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@_query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_setjoin.license_scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    starts, base = F.col("found.start"), F.array_sort(F.array_distinct("found.label"))
+    more = F.array_sort(F.array_distinct(F.concat("found.label", "blocks.label")))
+    best = F.coalesce(F.array_max("blocks.share"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("found").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(more, ",").alias("labels"),
+        F.when(F.size("found") > 0, 1.0).otherwise(best).alias("score"),
+        "blocks",
+    )
