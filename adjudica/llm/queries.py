@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_ppm, license_setjoin, multiset_hash, sentencepiece_table, superminhash, toxicity_mil, winnowing
+from adjudica.llm import language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -130,3 +130,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.size("found") > 0, 1.0).otherwise(best).alias("score"),
         "blocks",
     )
+
+
+@_query("op3_secrets")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secrets_markov.scan(docs, secrets_markov.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    base = secrets_markov.listed(secrets_markov.by_start(F.col("base")))
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        secrets_markov.listed(secrets_markov.by_start(F.concat("base", "added"))).alias("spans"),
+    )
