@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, winnowing
+from adjudica.llm import id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -146,3 +146,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(base.cast("binary"), 256).alias("base_sha256"),
         secrets_markov.listed(secrets_markov.by_start(F.concat("base", "added"))).alias("spans"),
     )
+
+
+@_query("op9_coded_ids")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    path = id_coder.files_folder(spark)
+    id_coder.write_ids(docs, tokenizer_path("word_bpe_49k.json"), 2, path)
+    return id_coder.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
