@@ -7,9 +7,10 @@ after one or two steps for all but short documents. Slots agree with the probabi
 likeness, with less variance than independent slots because a shingle ranks the slots without repeats.
 
 Equal sets are one class and go on as its smallest document. Classes meet in the buckets of their bands.
-In a bucket nobody meets everybody: each class is first checked against the smallest class it shares most
-bands with, and the classes joined by that are one group. Only classes of one bucket that are still in
-different groups are checked against each other. Checks compare full sets.
+In a bucket nobody meets everybody: every class is checked against the bucket's head, its most central
+class, and what that links is one group. Where a head still has classes of different groups, two of them can
+only be alike if they differ from the head in the same way, so they meet over the rare changes they share,
+with a prefix filter that loses no link. Checks compare full sets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica.llm.components import components
@@ -144,6 +145,49 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= similarity * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
+def _mixed(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (``head``, ``node``) whose head has classes of different groups."""
+    own = groups.select(F.col("node").alias("head"), F.col("root").alias("head_root"))
+    placed = pairs.select("head", "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = placed.groupBy("head").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).join(own, "head", "left")
+    several = several.where((F.col("lo") < F.col("hi")) | (F.col("lo") != F.coalesce("head_root", "head")))
+    return pairs.join(several.select("head"), "head", "left_semi")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per pair the size of the head's set, how many shingles the node lost and gained, and which these are."""
+    left = sets.select(F.col("node").alias("head"), F.col("shingles").alias("sa"))
+    right = sets.select("node", F.col("shingles").alias("sb"))
+    both = pairs.select("head", "node").join(left, "head").join(right, "node")
+    both = both.select("head", "node", F.size("sa").cast("bigint").alias("size"), F.array_except("sa", "sb").alias("out"), F.array_except("sb", "sa").alias("new"))
+    return both.select("head", "node", "size", F.size("out").cast("bigint").alias("lost"), F.size("new").cast("bigint").alias("gained"), F.concat("out", "new").alias("changes"))
+
+
+def _candidates(apart: DataFrame, groups: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of different groups under one head that may be alike enough; none that is gets lost.
+
+    Two classes have in common what neither lost, and the changes they share. With v = 100 lost + p gained, they
+    are alike by p per cent just if (100 + p) shared >= v + v' - (100 - p) size. Classes that need no shared change
+    are each linked with the head. So it is a join on shared changes with a prefix filter: a class sends its rarest
+    changes, all but as many as it must share, to partners whose v is as large or larger.
+    """
+    weight = 100 * F.col("lost") + similarity * F.col("gained")
+    slack, unit = (100 - similarity) * F.col("size"), 100 + similarity
+    placed = apart.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("v", weight)
+    n = F.size("changes")
+    placed = placed.withColumn("as_probe", n - F.greatest(F.ceil((2 * F.col("v") - slack) / unit), F.lit(1)) + 1)
+    placed = placed.withColumn("as_index", n - F.greatest(F.ceil((F.col("v") - slack) / unit), F.lit(1)) + 1)
+    each = placed.where("as_index > 0").select("head", "node", "root", "v", "as_probe", "as_index", F.explode("changes").alias("change"))
+    often = each.groupBy("head", "change").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("head", "node").orderBy("often", "change")
+    each = each.join(often, ["head", "change"]).withColumn("rank", F.row_number().over(order))
+    each = stage(each.where((F.col("rank") <= F.col("as_index")) & (F.col("often") > 1)).drop("often"), "minhash-prefixes")
+    probe = each.where("rank <= as_probe").select("head", "change", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("v").alias("va"))
+    index = each.select("head", "change", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("v").alias("vb"))
+    met = probe.join(index, ["head", "change"]).where((F.col("ra") != F.col("rb")) & (F.col("va") <= F.col("vb")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: the id column, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -159,29 +203,31 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = stage(classes, "minhash-classes")
     nodes = wordy.join(classes, ["n", "f1", "f2"]).where("doc_id = node").select("node", "n", "bands").dropDuplicates(["node", "n"])
     places = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    heads = places.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    meet = stage(places.join(heads.select("bucket", "head"), "bucket"), "minhash-buckets")
-
-    # First the best head of every class: the one it shares most bands with.
-    shared = meet.where("node <> head").groupBy("node", "head").count()
-    best = shared.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("top")).select(F.col("top.col2").alias("head"), "node")
-    best = best.select((-F.col("head")).alias("a"), F.col("node").alias("b"))
-    wanted = meet.select("node").distinct()
-    texts = rows.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    crowded = stage(places.join(sizes, "bucket"), "minhash-buckets")
+    # The head of a bucket is its most central class: the one that meets most others over all its buckets.
+    degrees = crowded.groupBy("node").agg(F.sum("size").alias("degree"))
+    heads = crowded.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("top"))
+    heads = heads.select("bucket", (-F.col("top.col2")).alias("head"))
+    shared = crowded.join(heads, "bucket").where("node <> head").groupBy("head", "node").count()
+    shared = stage(shared, "minhash-heads")
+
+    # First every class against the head it shares most bands with.
+    best = shared.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("top"))
+    best = best.select((-F.col("top.col2")).alias("a"), F.col("node").alias("b"))
+    wanted = shared.select(F.explode(F.array("head", "node")).alias("doc_id")).distinct()
+    texts = rows.join(wanted, "doc_id", "left_semi")
     sets = stage(texts.mapInArrow(_full, "node bigint, shingles array<bigint>").dropDuplicates(["node", "shingles"]), "minhash-sets")
-    first = stage(_verified(best, sets, similarity), "minhash-links")
-    groups = components(first)
-
-    # Then what shares a bucket but is still in different groups.
-    placed = meet.join(groups, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    placed = stage(placed.join(mixed, "bucket", "left_semi"), "minhash-mixed")
-    other = placed.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = placed.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")).join(other, "bucket")
-    across = across.where((F.col("ra") < F.col("rb")) & (100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")))
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(_verified(across.join(best, ["a", "b"], "left_anti"), sets, similarity), "minhash-links")
-    groups = components(first.unionByName(more))
+    links = stage(_verified(best, sets, similarity), "minhash-links")
+
+    # Then heads whose classes are in several groups: how each class differs from the head.
+    apart = stage(_differences(_mixed(shared, components(links)), sets), "minhash-differences")
+    linked = apart.where(100 * (F.col("size") - F.col("lost")) >= similarity * (F.col("size") + F.col("gained")))
+    links = stage(links.unionByName(linked.select(F.col("head").alias("a"), F.col("node").alias("b"))), "minhash-links")
+    groups = components(links)
+    across = _candidates(_mixed(apart, groups), groups, similarity)
+    links = links.unionByName(stage(_verified(across, sets, similarity), "minhash-links"))
+    groups = components(links)
 
     named = sketch.join(classes, ["n", "f1", "f2"], "left").join(groups, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id"))
