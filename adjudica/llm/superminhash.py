@@ -177,14 +177,16 @@ def _candidates(apart: DataFrame, groups: DataFrame, similarity: int) -> DataFra
     n = F.size("changes")
     placed = placed.withColumn("as_probe", n - F.greatest(F.ceil((2 * F.col("v") - slack) / unit), F.lit(1)) + 1)
     placed = placed.withColumn("as_index", n - F.greatest(F.ceil((F.col("v") - slack) / unit), F.lit(1)) + 1)
-    each = placed.where("as_index > 0").select("head", "node", "root", "v", "as_probe", "as_index", F.explode("changes").alias("change"))
+    each = placed.where("as_index > 0").select("head", "node", "root", "v", "as_probe", "as_index", n.alias("n"), slack.alias("slack"), F.explode("changes").alias("change"))
     often = each.groupBy("head", "change").agg(F.count(F.lit(1)).alias("often"))
     order = Window.partitionBy("head", "node").orderBy("often", "change")
     each = each.join(often, ["head", "change"]).withColumn("rank", F.row_number().over(order))
     each = stage(each.where((F.col("rank") <= F.col("as_index")) & (F.col("often") > 1)).drop("often"), "minhash-prefixes")
-    probe = each.where("rank <= as_probe").select("head", "change", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("v").alias("va"))
-    index = each.select("head", "change", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("v").alias("vb"))
-    met = probe.join(index, ["head", "change"]).where((F.col("ra") != F.col("rb")) & (F.col("va") <= F.col("vb")))
+    probe = each.where("rank <= as_probe").select("head", "change", "slack", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("v").alias("va"), (F.col("n") - F.col("rank") + 1).alias("left_a"))
+    index = each.select("head", "change", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("v").alias("vb"), (F.col("n") - F.col("rank") + 1).alias("left_b"))
+    # From the first change they share on, both need as many changes as they must share.
+    needed = (F.col("va") + F.col("vb") - F.col("slack")) / unit
+    met = probe.join(index, ["head", "change"]).where((F.col("ra") != F.col("rb")) & (F.col("va") <= F.col("vb")) & (F.least("left_a", "left_b") >= needed))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
