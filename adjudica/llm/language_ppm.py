@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,6 +115,21 @@ def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
     return out
 
 
+def _judge(m: Model, texts: list[str | None]) -> list[tuple[str, float, float | None]]:
+    """Language, posterior and bits per byte of every text."""
+    clean = [t or "" for t in texts]
+    known = [bool(m.languages) and _LETTER.search(t) is not None for t in clean]
+    out: list[tuple[str, float, float | None]] = []
+    for text, row, k in zip(clean, code_lengths(m, [t if k else "" for t, k in zip(clean, known, strict=True)]), known, strict=True):
+        if not k:
+            out.append((UNDETERMINED, 0.0, None))
+            continue
+        best = int(row.argmin())
+        posterior = float(1.0 / np.exp2(np.maximum(row[best] - row, -1000.0)).sum())
+        out.append((m.languages[best], posterior, float(row[best] / len(text.encode("utf-8")))))
+    return out
+
+
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id column, ``lang_pred``, ``score`` and ``bits_per_byte``.
 
@@ -124,22 +140,24 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = sent.value
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
-            known = [bool(m.languages) and _LETTER.search(t) is not None for t in texts]
-            bits = code_lengths(m, [t if k else "" for t, k in zip(texts, known, strict=True)])
-            names, scores, rates = [], [], []
-            for text, row, k in zip(texts, bits, known, strict=True):
-                if not k:
-                    names.append(UNDETERMINED), scores.append(0.0), rates.append(None)
-                    continue
-                best = int(row.argmin())
-                names.append(m.languages[best])
-                scores.append(float(1.0 / np.exp2(np.maximum(row[best] - row, -1000.0)).sum()))
-                rates.append(float(row[best] / len(text.encode("utf-8"))))
+            found = _judge(sent.value, [None if t is None else t for t in batch["text"]])
+            names, scores, rates = zip(*found, strict=True) if found else ((), (), ())
             yield pd.DataFrame({"key": batch["key"], "lang_pred": names, "score": scores, "bits_per_byte": pd.array(rates, dtype="Float64")})
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(docs[id_column].alias("key"), docs[text_column].alias("text"))
     return rows.mapInPandas(run, f"key {kind}, lang_pred string, score double, bits_per_byte double").withColumnRenamed("key", id_column)
+
+
+def known_rows(docs: DataFrame, model: Model, at_least: float = 0.5, text_column: str = "text") -> DataFrame:
+    """The whole rows of ``docs`` whose text has a language with a posterior of ``at_least``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _judge(sent.value, batch.column(place).to_pylist())
+            yield batch.filter(pa.array([lang != UNDETERMINED and score >= at_least for lang, score, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, winnowing
+from adjudica.llm import id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, url_asof, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -154,3 +154,39 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = id_coder.files_folder(spark)
     id_coder.write_ids(docs, tokenizer_path("word_bpe_49k.json"), 2, path)
     return id_coder.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+# The tables hold no lists and no fetch dates. Every page is also taken as a report that lists its host, its
+# parent domain or the first part of its path, with an action and a day that follow from its number.
+_OP4_SQL = r"""
+with p as (select page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) host,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^?#]*)', 1), '/'), lambda x: x <> '') parts,
+    date '2024-01-01' + cast(page_id * 53 % 366 as integer) fetched_on,
+    date '2024-01-01' + cast(page_id * 37 % 366 as integer) listed_on,
+    case page_id // 3 % 3 when 0 then 'block' when 1 then 'allow' else 'remove' end act from pages),
+e as (select page_id, act, listed_on, case page_id % 3 when 0 then host when 1 then regexp_replace(host, '^[^.]+\.', '')
+    else host || coalesce('/' || parts[1], '') end pattern from p),
+day as (select pattern, listed_on, arg_max(act, page_id) act from e group by all),
+iv as (select pattern, act, listed_on since, lead(listed_on) over (partition by pattern order by listed_on) until from day),
+k as (select page_id, fetched_on, unnest(list_distinct(list_concat(
+    [array_to_string(string_split(host, '.')[i:], '.') for i in range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1)],
+    [host || '/' || array_to_string(parts[1:i], '/') for i in range(1, len(parts) + 1)]))) pattern from p where host <> ''),
+m as (select page_id, arg_max(struct_pack(pattern := k.pattern, act := act, since := since), length(k.pattern)) b
+    from k join iv on k.pattern = iv.pattern and since <= fetched_on and (until is null or fetched_on < until) and act <> 'remove' group by 1)
+select p.page_id, p.fetched_on, coalesce(b.act, 'none') verdict, b.pattern pattern, b.since since from p left join m using (page_id)
+"""
+
+
+@_query("op4_url_filter", _OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    day = lambda step: F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * step % 366).cast("int"))
+    host, part = url_asof.host_of(F.col("url")), F.get(F.array_remove(F.split(url_asof.path_of(F.col("url")), "/"), ""), 0)
+    turn, deed = F.col("page_id") % 3, F.floor(F.col("page_id") / 3) % 3
+    entries = pages.select(
+        F.col("page_id").alias("entry_id"),
+        day(37).alias("listed_on"),
+        F.when(deed == 0, url_asof.BLOCK).when(deed == 1, url_asof.ALLOW).otherwise(url_asof.REMOVE).alias("action"),
+        F.when(turn == 0, host).when(turn == 1, F.regexp_replace(host, r"^[^.]+\.", "")).otherwise(F.concat(host, F.coalesce(F.concat(F.lit("/"), part), F.lit("")))).alias("pattern"),
+    )
+    return url_asof.filter_urls(pages.withColumn("fetched_on", day(53)), entries)

@@ -128,22 +128,44 @@ def _ratio(string: Column, model: Model) -> Column:
     return let(codes, lambda c: let(table, lambda t: mean(c, t)))
 
 
+def _with_spans(docs: DataFrame, model: Model, text_column: str, shortest: int, threshold: float) -> DataFrame:
+    """``docs`` with the columns ``_base`` and ``_added``."""
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = docs.withColumn("_base", fixed_forms(text))
+    pattern = IDENTIFIER % shortest
+
+    def random(base: Column) -> Column:
+        return F.filter(_matches(text, pattern, 3), lambda s: ~_inside(base, s) & (_ratio(s["text"], model) >= threshold))
+
+    return rows.withColumn("_added", F.when(text.rlike(pattern), let(F.col("_base"), random)).otherwise(_none()))
+
+
 def scan(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", shortest: int = SHORTEST, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (id column) with ``base`` and ``added`` spans: start, end (code points), kind, text.
 
     ``kind`` is the place in ``KINDS``. Added spans never overlap base ones. A null text counts as empty;
     repeated rows give repeated rows; other columns are not looked at.
     """
-    text = F.coalesce(docs[text_column], F.lit(""))
-    rows = docs.select(docs[id_column].alias("id"), text.alias("text"))
-    rows = rows.select("id", "text", fixed_forms(F.col("text")).alias("base"))
-    pattern = IDENTIFIER % shortest
-
-    def random(base: Column) -> Column:
-        return F.filter(_matches(F.col("text"), pattern, 3), lambda s: ~_inside(base, s) & (_ratio(s["text"], model) >= threshold))
-
-    added = F.when(F.col("text").rlike(pattern), let(F.col("base"), random)).otherwise(_none())
-    return rows.select(F.col("id").alias(id_column), "base", added.alias("added"))
+    rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))
+    found = _with_spans(rows, model, "text", shortest, threshold)
+    return found.select(F.col("id").alias(id_column), F.col("_base").alias("base"), F.col("_added").alias("added"))
+
+
+def redact(docs: DataFrame, model: Model, text_column: str = "text", mark: str = "[SECRET]", shortest: int = SHORTEST, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with every secret in the text replaced by ``mark``; overlapping spans become one mark."""
+    text = F.col(text_column)
+    spans = by_start(F.concat("_base", "_added"))
+    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        between = F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))))
+        fresh = (s["start"] >= acc["at"]) & (s["end"] > acc["at"])
+        return F.struct(F.when(fresh, F.concat(between, F.lit(mark))).otherwise(acc["done"]).alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+    clean = F.aggregate(spans, start, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
+    found = _with_spans(docs, model, text_column, shortest, threshold)
+    whole = F.when(text.isNull() | (F.size("_base") + F.size("_added") == 0), text).otherwise(clean)
+    return found.withColumn(text_column, whole).drop("_base", "_added")
 
 
 def listed(spans: Column) -> Column:

@@ -1,20 +1,71 @@
-"""The training-data pipeline; stages are added as their operators are built."""
+"""The training-data pipeline: five stages over the table of documents, each written and read again."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from adjudica.llm import language_ppm, secrets_markov, sentencepiece_table, superminhash, winnowing
+from adjudica.llm.queries import tokenizer_path
+from adjudica.llm.shared import table, workers_find_package
+from adjudica.session import stage, tune
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that have a language; those without a letter or without a clear language go."""
+    return language_ppm.known_rows(docs, language_ppm.fit(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id; rows without id stay."""
+    found = superminhash.near_duplicates(docs)
+    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window with a benchmark item."""
+    found = winnowing.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    dirty = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("dirty_id")).distinct()
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("dirty_id")), "left_anti").select(docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of every secret and ``n_chars`` counted anew."""
+    clean = secrets_markov.redact(docs, secrets_markov.fit(docs))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives its text back."""
+    coded = sentencepiece_table.encode_decode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _ready(function: Stage) -> Stage:
+    return lambda spark, docs, sf_dir: function(workers_find_package(tune(spark)), docs, sf_dir)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", _ready(language)),
+    ("near_dedup", _ready(near_dedup)),
+    ("decontaminate", _ready(decontaminate)),
+    ("redact_secrets", _ready(redact_secrets)),
+    ("encode", _ready(encode)),
+]
+
+# SQL has no form of the byte context trees and the tokenizer; tests compare with a brute-force version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the table of documents, one after the other."""
-    from adjudica.session import stage
-
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
