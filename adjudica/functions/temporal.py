@@ -10,11 +10,12 @@ from adjudica.functions.binding import let
 
 # Naive input is read in this zone unless the caller names another.
 DEFAULT_ZONE = "+05:30"
+# --- fixed values: the date forms that are read ------------------------------------------------------------
 _NAIVE_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _NAIVE_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
 _ZONED_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)? ?(Z|[+-]\d{2}:?\d{2})$"
 _MAIL_DATE = r"^([A-Za-z]{3}, )?\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}(:\d{2})? [+-]\d{4}$"
-_DAY_MONTH_YEAR = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
+_DAY_MONTH_YEAR = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(?:(?: |T|, )(\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -43,6 +44,7 @@ def parse_ts(
 ) -> Column:
     """An instant out of ISO, mail-header or day/month/year text, else null. Never fails a row.
 
+    Day/month/year text may carry a time of day; other text behind it makes it unreadable.
     Text without an offset is read in ``zone``; years outside ``years`` (in ``zone``) give null.
     """
 
@@ -57,7 +59,8 @@ def parse_ts(
         dmy = F.concat(
             F.regexp_extract(s, _DAY_MONTH_YEAR, 3), F.lit("-"),
             F.lpad(F.regexp_extract(s, _DAY_MONTH_YEAR, month), 2, "0"), F.lit("-"),
-            F.lpad(F.regexp_extract(s, _DAY_MONTH_YEAR, day), 2, "0"), F.lit("T00:00:00" + zone),
+            F.lpad(F.regexp_extract(s, _DAY_MONTH_YEAR, day), 2, "0"), F.lit("T"),
+            *[x for k in (4, 5, 6) for x in (F.lpad(F.regexp_extract(s, _DAY_MONTH_YEAR, k), 2, "0"), F.lit(":" if k < 6 else zone))],
         )
         return (
             F.when(s.rlike(_NAIVE_DATE), F.concat(s, F.lit("T00:00:00" + zone)).try_cast("timestamp"))

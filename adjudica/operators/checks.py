@@ -65,7 +65,7 @@ def cited_rules(citations: Column | str) -> Column:
     """The rule ids among citations, in order, repeats kept."""
     value = F.col(citations) if isinstance(citations, str) else citations
     rules = F.filter(value, lambda c: F.startswith(c["source"], F.lit("rules#")))
-    return F.transform(rules, lambda c: F.substring(c["source"], 7, 1000))
+    return F.transform(rules, lambda c: c["source"].substr(F.lit(7), F.length(c["source"])))
 
 
 def rule_usage(df: DataFrame, citations: str = "citations") -> DataFrame:

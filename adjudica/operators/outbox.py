@@ -99,7 +99,7 @@ def approval_queue(messages: DataFrame) -> DataFrame:
     rules = F.array_distinct(
         F.transform(
             F.filter("citations", lambda c: F.startswith(c["source"], F.lit("rules#"))),
-            lambda c: F.substring(c["source"], 7, 1000),
+            lambda c: c["source"].substr(F.lit(7), F.length(c["source"])),
         )
     )
     return messages.filter("status = 'pending'").select(

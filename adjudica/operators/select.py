@@ -89,10 +89,12 @@ def outcome_text(record_sig: Column, candidate_sig: Column, n: int) -> Column:
 
 def candidate_classes(
     candidates: DataFrame, pool: str, day: str, cid: str, preference: str, sig: str = "cand_sig",
-    keep: int = MAX_REJECTED + 1,
+    max_rejected: int = MAX_REJECTED,
 ) -> DataFrame:
     """One row per (pool, day, signature, preference): how many candidates, and its first ids.
 
+    It keeps as many ids as a list of ``max_rejected`` can use besides the record's own candidate.
+
     The signature column holds the rule letters, then the gap flags.
     """
     keys = [pool, day, sig, preference]
@@ -101,7 +103,7 @@ def candidate_classes(
     )
     sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     heads = (
-        topk_per_key(base, keys, [F.col(cid)], keep, "__rank")
+        topk_per_key(base, keys, [F.col(cid)], max_rejected + 1, "__rank")
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(cid)).alias("ids"))
     )
@@ -139,7 +141,7 @@ def profile_answers(
     eligible = F.when(~F.col("__blocked") & (F.col("rank") <= 2), F.struct("rank", "cid", "__pref"))
     refused = F.when(
         F.col("__blocked"),
-        F.struct("cid", outcome_text(r, c, n_rules).alias("outcome"), F.substring(c, n_rules + 1, 1000).alias("gaps")),
+        F.struct("cid", outcome_text(r, c, n_rules).alias("outcome"), c.substr(F.lit(n_rules + 1), F.length(c)).alias("gaps")),
     )
     lists = ranked.groupBy(*keys).agg(
         F.array_sort(F.collect_list(eligible)).alias("__best"), F.array_sort(F.collect_list(refused)).alias("__rejected")

@@ -44,11 +44,16 @@ def quarantine_key(key: Column | str, raw: Column | str) -> Column:
 
 
 def quarantine_rows(df: DataFrame, key: str, raw: str, salt: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per (record, reason), for records with at least one; the raw record is masked here."""
+    """One row per (key, reason), for records with at least one; the raw record is masked here.
+
+    Records without a key that are equal in content share a key, and so one row per reason: the first by
+    its masked text and the ``keep`` columns.
+    """
     keyed = df.filter(F.size("reasons") > 0).select(
         quarantine_key(key, raw).alias("ticket_key"), "reasons", mask_text(raw, salt).alias("raw_json"), *keep
     )
-    return keyed.select("ticket_key", F.explode("reasons").alias("reason"), "raw_json", *keep)
+    each = keyed.select("ticket_key", F.explode("reasons").alias("reason"), F.struct("raw_json", *keep).alias("row"))
+    return each.groupBy("ticket_key", "reason").agg(F.min("row").alias("row")).select("ticket_key", "reason", "row.*")
 
 
 def reject_orphans(df: DataFrame, dimension: DataFrame, key: str, dimension_key: str) -> DataFrame:

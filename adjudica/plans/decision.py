@@ -168,11 +168,13 @@ def candidate_signature(exclusions: Sequence[Rule]) -> Column:
 
 
 def select_candidates(
-    records: DataFrame, days: DataFrame, rules: Sequence[Rule], keep: Keep = stage
+    records: DataFrame, days: DataFrame, rules: Sequence[Rule], keep: Keep = stage,
+    max_rejected: int = select.MAX_REJECTED,
 ) -> DataFrame:
     """Add the choice among the pool's vehicles to records that carry their broken vehicle's facts.
 
-    ``keep`` holds on to the classes, which are small and read twice.
+    ``keep`` holds on to the classes, which are small and read twice. At most ``max_rejected`` rejected
+    candidates are listed; all are counted.
     """
     exclusions = select.exclusion_rules(rules)
     n = len(exclusions)
@@ -190,8 +192,8 @@ def select_candidates(
         F.col("home_hub").alias("pool"), "day", F.col("reg_canon").alias("cid"), "vehicle_year",
         candidate_signature(exclusions).alias("cand_sig"),
     )
-    classes = keep(select.candidate_classes(candidates, "pool", "day", "cid", "vehicle_year"), "classes")
-    answers = select.profile_answers(signed, classes, n, "pool", "day", "vehicle_year")
+    classes = keep(select.candidate_classes(candidates, "pool", "day", "cid", "vehicle_year", max_rejected=max_rejected), "classes")
+    answers = select.profile_answers(signed, classes, n, "pool", "day", "vehicle_year", max_rejected=max_rejected)
     return select.select_top1(
         signed, answers, n, "pool", "day", "broken_vehicle_reg", "own_sig", "own_in_pool"
     )

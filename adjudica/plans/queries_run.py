@@ -390,7 +390,7 @@ def rules_cited(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("build_orders", RUN + """
-    select 'WO-' || substr(sha256(ticket_id), 1, 12) as work_order_id, ticket_id, vehicle_reg, replacement as replacement_reg, origin_hub, severity,
+    select 'WO-' || substr(sha256(ticket_id), 1, 32) as work_order_id, ticket_id, vehicle_reg, replacement as replacement_reg, origin_hub, severity,
       strftime(ats - interval 330 minute, '%Y-%m-%dT%H:%M:%S') || '.000Z' as created_at from selected
 """)
 def build_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -412,7 +412,7 @@ concat_ws(' ', 'Breakdown reported on your consignment (our reference ' || s.tic
 
 
 @query("draft_messages", RUN + f"""
-    select 'MSG-' || substr(sha256(ticket_id), 1, 12) as message_id, ticket_id, client as recipient, {_BODY} as body, 'pending' as status,
+    select 'MSG-' || substr(sha256(ticket_id), 1, 32) as message_id, ticket_id, client as recipient, {_BODY} as body, 'pending' as status,
       origin_hub || ' -> ' || coalesce(dest_hub, 'null') as route, n_considered, n_eligible from selected s
 """)
 def draft_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -456,7 +456,7 @@ def approval_queue(spark: SparkSession, sf: str) -> DataFrame:
         case when sla_hours is not null then client || ' planned to ' || sla_hours || 'h' end,
         case when gaps <> '' then 'could not evaluate: ' || replace(regexp_replace(gaps, ':([a-z_]+)', ' (missing \\1)', 'g'), ',', '; ') end,
         case when tenure < 6 and night then 'driver ' || known_driver || ' (' || tenure || ' months) cannot run this alone: Less than six months of tenure' end,
-        'created WO-' || substr(sha256(ticket_id), 1, 12), 'queued MSG-' || substr(sha256(ticket_id), 1, 12)]) as decision)
+        'created WO-' || substr(sha256(ticket_id), 1, 32), 'queued MSG-' || substr(sha256(ticket_id), 1, 32)]) as decision)
     where decision is not null
 """)
 def audit_trail(spark: SparkSession, sf: str) -> DataFrame:
@@ -552,8 +552,8 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("publish_batch", UP_TO_ADMITTED + """
-    select 'orders' as kind, 'WO-' || substr(sha256(ticket_id), 1, 12) as id, ticket_id from usable
-    union all select 'messages', 'MSG-' || substr(sha256(ticket_id), 1, 12), ticket_id from usable
+    select 'orders' as kind, 'WO-' || substr(sha256(ticket_id), 1, 32) as id, ticket_id from usable
+    union all select 'messages', 'MSG-' || substr(sha256(ticket_id), 1, 32), ticket_id from usable
 """)
 def publish_batch(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "outbox")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adjudica.functions import temporal as T
@@ -20,15 +20,17 @@ ROSTER = ["customer", "segment", "remark"]
 
 
 def _roster_csv(spark: SparkSession, sf: str) -> str:
-    """Customers as CSV with quotes and commas inside fields, one header per file."""
+    """Customers as CSV with quotes and commas inside fields, one header per file; every other file has another order."""
     path = scratch_path(spark, "csv")
     rows = D.table(spark, sf, "customer").selectExpr(
         "cast(c_custkey as string) as customer", "c_mktsegment as segment",
         "case when c_custkey % 3 = 0 then concat('said \"no\", then ', c_name) when c_custkey % 3 = 1 then '' else c_name end as remark",
         "c_custkey",
     )
-    ordered = rows.repartitionByRange(3, "c_custkey").sortWithinPartitions("c_custkey").drop("c_custkey")
-    ordered.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    for odd, names in ((0, ["customer", "segment", "remark"]), (1, ["remark", " Customer", "SEGMENT"])):
+        part = rows.where(F.col("c_custkey") % 2 == odd).repartitionByRange(3, "c_custkey").sortWithinPartitions("c_custkey")
+        part = part.select(*[F.col(n.strip().lower()).alias(n) for n in names])
+        part.write.mode("append").option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path
 
 
@@ -45,19 +47,26 @@ def with_lineage(spark: SparkSession, sf: str) -> DataFrame:
     df = files.scan_csv(spark, _roster_csv(spark, sf), ROSTER, lineage=True)
     # Within a file the keys were written in order, so row number and key must rise together.
     ranked = df.select("source_file", "source_row", F.col("customer").cast("long").alias("k"))
-    per_file = ranked.groupBy("source_file").agg(
+    before = F.lag("k").over(Window.partitionBy("source_file").orderBy("source_row"))
+    per_file = ranked.withColumn("rises", F.coalesce(F.col("k") > before, F.lit(True))).groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("source_row").alias("d"), F.min("source_row").alias("first"),
-        F.max("source_row").alias("last"), F.corr("source_row", "k").alias("c"),
+        F.max("source_row").alias("last"), F.bool_and("rises").alias("c"),
     )
     return per_file.agg(
-        F.sum("n").alias("n_rows"), F.sum("d").alias("n_distinct"), F.bool_and((F.col("c") > 0.999) | (F.col("n") < 3)).alias("in_order"),
+        F.sum("n").alias("n_rows"), F.sum("d").alias("n_distinct"), F.bool_and("c").alias("in_order"),
         F.bool_and((F.col("first") == 2) & (F.col("last") == F.col("n") + 1)).alias("from_two"),
     )
 
 
 @query("require_columns", "select count(*) as n_rows from customer where c_mktsegment <> ''")
 def require_columns(spark: SparkSession, sf: str) -> DataFrame:
-    df = files.require_columns(files.scan_csv(spark, _roster_csv(spark, sf), ROSTER), ROSTER, "roster")
+    path = _roster_csv(spark, sf)
+    try:
+        files.require_columns(files.scan_csv(spark, path, [*ROSTER, "phone"]), [*ROSTER, "phone"], "roster")
+    except files.GateError:
+        df = files.require_columns(files.scan_csv(spark, path, ROSTER), ROSTER, "roster")
+    else:
+        raise AssertionError("a file without the column was let through")
     return df.filter("segment <> ''").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -120,7 +129,7 @@ RENAMED = {
 
 
 @query("scan_queue", O.with_(O.TICKETS) + """
-    select 'ndjson' as shape, count(*) as n, count(*) as n_objects from tickets where copy = 0
+    select 'ndjson' as shape, count(*) as n, count(*) as n_objects from tickets
 """)
 def scan_queue(spark: SparkSession, sf: str) -> DataFrame:
     records = queue.scan_queue(spark, f"{_line_queue(spark, sf)}/*.txt")
@@ -128,13 +137,12 @@ def scan_queue(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _line_queue(spark: SparkSession, sf: str) -> str:
-    """First copies of the queue as JSON lines with renamed and nested fields."""
+    """The whole queue, copies included, as JSON lines with renamed and nested fields."""
     path = scratch_path(spark, "lines")
     about = F.struct(F.col("vehicle").alias("truck"), F.col("client").alias("customer"), F.lit("inner").alias("status"))
     outer = [F.col(k).alias(v) for k, v in RENAMED.items() if k not in ("vehicle", "client")]
     record = F.struct(*outer, about.alias("about"), F.col("pos").cast("string").alias("pos"))
-    rows = D.raw_tickets(spark, sf).filter("pos % 2 = 0")
-    rows.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value")).write.text(path)
+    D.raw_tickets(spark, sf).select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value")).write.text(path)
     return path
 
 
@@ -183,14 +191,14 @@ def _flat(spark: SparkSession, sf: str) -> DataFrame:
     return usable.withColumn("fields", queue.flatten_once("record"))
 
 
-@query("flatten_once", O.with_(O.TICKETS) + "select pos, 13 as n_fields, lower(status) as status from tickets where copy = 0")
+@query("flatten_once", O.with_(O.TICKETS) + "select pos, 13 as n_fields, lower(status) as status from tickets")
 def flatten_once(spark: SparkSession, sf: str) -> DataFrame:
     text = lambda name: F.try_element_at("fields", F.lit(name)).cast("string")
     return _flat(spark, sf).select(text("pos").cast("long").alias("pos"), F.size("fields").alias("n_fields"), text("status").alias("status"))
 
 
 @query("adapt_columns", O.with_(O.TICKETS) + """
-    select pos, ticket_id, vehicle_reg, client, origin_hub, dest_hub, km, issue, severity, strftime(ats, '%Y-%m-%d %H:%M') as at from tickets where copy = 0
+    select pos, ticket_id, vehicle_reg, client, origin_hub, dest_hub, km, issue, severity, strftime(ats, '%Y-%m-%d %H:%M') as at from tickets
 """)
 def adapt_columns(spark: SparkSession, sf: str) -> DataFrame:
     adapted = queue.adapt_columns(_flat(spark, sf), "fields").drop("pos").withColumn(
@@ -205,7 +213,7 @@ def adapt_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("gate_recognised", O.with_(O.TICKETS) + """
     select unnest(['ticket_id', 'created_at', 'vehicle', 'driver_id', 'origin_hub', 'destination', 'km_from_origin_hub', 'issue', 'severity', 'client', 'status', 'resolution_note']) as field,
-      n as n_found from (select count(*) as n from tickets where copy = 0)
+      n as n_found from (select count(*) as n from tickets)
 """)
 def gate_recognised(spark: SparkSession, sf: str) -> DataFrame:
     matched = queue.matched_fields(_flat(spark, sf), "fields")
@@ -215,7 +223,7 @@ def gate_recognised(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("renamed_fields", O.with_(O.TICKETS) + """
     select unnest(['ticket_id', 'created_at', 'vehicle', 'origin_hub', 'km_from_origin_hub', 'issue', 'severity', 'client', 'resolution_note']) as field,
-      n as n_found from (select count(*) as n from tickets where copy = 0)
+      n as n_found from (select count(*) as n from tickets)
 """)
 def renamed_fields(spark: SparkSession, sf: str) -> DataFrame:
     return queue.renamed_fields(queue.matched_fields(_flat(spark, sf), "fields"))
@@ -237,13 +245,15 @@ def sink_jsonl_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path)
 
 
-@query("publish_context", "select n_nationkey, n_name from nation")
+@query("publish_context", "select c_custkey, c_name from customer")
 def publish_context(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "context")
-    nation = D.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    context.publish_context({"nation": nation.withColumn("n_name", F.lower("n_name"))}, root, "v1")
-    context.publish_context({"nation": nation}, root, "v2")
-    return context.read_context(spark, root, "nation")
+    people = D.table(spark, sf, "customer").select("c_custkey", "c_name")
+    # Ten publications; the names of the last two sort the wrong way round.
+    for k in range(1, 10):
+        context.publish_context({"people": people.withColumn("c_name", F.concat(F.lit(f"{k} "), "c_name"))}, root, f"v{k}")
+    context.publish_context({"people": people}, root, "v10")
+    return context.read_context(spark, root, "people")
 
 
 # --- streams -----------------------------------------------------------------------------------------------
@@ -262,7 +272,7 @@ def queue_job(batch: DataFrame) -> dict[str, DataFrame]:
 
 
 @query("run_incremental", O.with_(O.TICKETS, O.FLEET, O.PEOPLE, O.ADMITTED) + """
-    select 'WO-' || substr(sha256(ticket_id), 1, 12) as id, ticket_id from usable
+    select 'WO-' || substr(sha256(ticket_id), 1, 32) as id, ticket_id from usable
 """)
 def run_incremental(spark: SparkSession, sf: str) -> DataFrame:
     landing, root, checkpoint = (scratch_path(spark, x) for x in ("landing", "state", "progress"))
@@ -278,14 +288,13 @@ def run_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("distinct_events", "select event_id, user_id, event_type from events")
 def distinct_events(spark: SparkSession, sf: str) -> DataFrame:
-    landing, out, checkpoint = (scratch_path(spark, x) for x in ("landing", "distinct", "progress"))
+    landing, root, checkpoint = (scratch_path(spark, x) for x in ("landing", "distinct", "progress"))
     events = D.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-    events.unionByName(events).repartition(2).write.parquet(landing)
-    stream = incremental.read_folder(spark, landing, "event_id long, ts timestamp, user_id long, event_type string")
-    once = incremental.distinct_events(stream, ["event_id"], "ts", "1 hour")
-    q = once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
+    # Eight files, two to a batch: most second copies come batches later, and old events after new ones.
+    events.unionByName(events).repartition(8).write.parquet(landing)
+    stream = incremental.read_folder(spark, landing, "event_id long, ts timestamp, user_id long, event_type string", per_batch=2)
+    once = incremental.distinct_events(stream, ["event_id"], ["ts", "user_id"], root, checkpoint)
+    return once.select("event_id", "user_id", "event_type")
 
 
 @query("check_replay_run", "select count(*) as n_first, count(*) as n_second, true as same from (select distinct o_orderkey from orders where o_orderkey % 101 <> 7)")

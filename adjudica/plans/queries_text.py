@@ -134,7 +134,7 @@ def tokenize(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("content_id", "select doc_id, 'DOC-' || substr(sha256(text), 1, 12) as content_id from documents")
+@query("content_id", "select doc_id, 'DOC-' || substr(sha256(text), 1, 32) as content_id from documents")
 def doc_content_id(spark: SparkSession, sf: str) -> DataFrame:
     return D.documents(spark, sf).select("doc_id", content_id("DOC", "text").alias("content_id"))
 

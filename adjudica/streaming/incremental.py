@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from adjudica.operators.outbox import new_rows, publish_batch, read_state
 
@@ -38,10 +37,16 @@ def run_incremental(
     query.awaitTermination()
 
 
-def distinct_events(stream: DataFrame, keys: list[str], ts: str, lateness: str) -> DataFrame:
-    """First event per key within the lateness bound; older keys are forgotten, so state stays small."""
-    timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
-    return timed.dropDuplicatesWithinWatermark(keys)
+def distinct_events(
+    stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str, name: str = "events"
+) -> DataFrame:
+    """Drain a stream and return the first row per key of all that ever arrived, however late it came.
+
+    Keys are compared with what earlier batches stored under ``root``; there is no lateness bound.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+    run_incremental(stream, lambda batch: {name: batch}, root, checkpoint, {name: (keys, order, schema)})
+    return read_state(stream.sparkSession, root, name, schema)
 
 
 def read_folder(spark: SparkSession, path: str, schema: str, per_batch: int = 1000) -> DataFrame:
