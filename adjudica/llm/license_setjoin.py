@@ -81,7 +81,8 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         index += [(w, label, ordered, least, len(ordered) - at) for at, w in enumerate(ordered[: len(ordered) - least + 1])]
     prefix = sorted({row[0] for row in index})
     # One row per template and prefix token: a few dozen.
-    known = F.broadcast(docs.sparkSession.createDataFrame(index, "token string, label string, template array<string>, least int, left int"))
+    literal = [F.struct(F.lit(w).alias("token"), F.lit(label).alias("label"), F.split(F.lit(" ".join(t)), " ").alias("template"), F.lit(least).alias("least"), F.lit(rest).alias("left")) for w, label, t, least, rest in index]
+    known = F.broadcast(docs.sparkSession.range(1).select(F.inline(F.array(*literal))))
 
     rows = docs.select(docs[id_column].alias("id"), F.xxhash64(F.coalesce(docs[text_column], F.lit(""))).alias("body"), words_of(docs[text_column]).alias("words"))
     found = let(F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")), lambda j: F.concat(*[_marked(j, p, label) for p, label in phrases.items()]))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adjudica.functions.binding import let
@@ -141,6 +141,12 @@ def _ranges(keys: DataFrame, rows_per_range: int) -> tuple[list[int], list[tuple
     return bounds, [(key, own, heads[k - 1][0]) for k, (own, key) in enumerate(heads)]
 
 
+def _rows_of(spark: SparkSession, heads: list[tuple[int, int, int]]) -> DataFrame:
+    text = F.explode(F.split(F.lit(";".join(",".join(map(str, h)) for h in heads)), ";")).alias("row")
+    row = F.split("row", ",")
+    return spark.range(1).select(text).select(row[0].cast("bigint").alias("key"), row[1].cast("int").alias("range"), row[2].cast("int").alias("into"))
+
+
 def with_edits(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Every row with its edited text, both fingerprints and their likeness.
 
@@ -155,7 +161,7 @@ def with_edits(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     bounds, heads = _ranges(rows.select("key"), rows_per_range)
     whole = rows.withColumn("range", _range_of(F.col("key"), bounds))
     # At most 10,000 first keys.
-    guests = whole.join(F.broadcast(docs.sparkSession.createDataFrame(heads, "key bigint, range int, into int")), ["key", "range"])
+    guests = whole.join(F.broadcast(_rows_of(docs.sparkSession, heads or [(0, 0, 0)])), ["key", "range"])
     guests = guests.groupBy("key", "into").agg(F.min("text").alias("text")).select(F.lit(None).cast(rows.schema["id"].dataType).alias("id"), "key", "text", F.col("into").alias("range"), F.lit(True).alias("guest"))
     both = whole.withColumn("guest", F.lit(False)).unionByName(guests).withColumn("vector", fingerprint(F.col("text")))
     order = Window.partitionBy("range").orderBy("guest", F.col("key").desc(), "text")
