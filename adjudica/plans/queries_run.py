@@ -399,15 +399,15 @@ def build_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _BODY = """
-concat_ws(' ', 'Breakdown reported on your consignment (our reference ' || s.ticket_id || ').',
-  'Reported fault: ' || s.issue || '. Severity ' || coalesce(s.severity, 'under assessment') || '.',
-  case when s.replacement is not null then 'A replacement vehicle (' || s.replacement || ') has been assigned from our ' || s.origin_hub || ' hub and is being dispatched.'
-    else 'A replacement vehicle is being arranged. We will confirm the vehicle and revised timing shortly.' end,
-  case when s.client = 'shakti_cement' then 'We are working to your 36-hour delivery window.' end,
-  case when s.mon in (7, 8, 9) and s.east then 'Monsoon conditions on this route: our revised estimate already includes a 20% allowance, and that is the figure we are quoting you.' end,
-  case when s.client = 'orion_pharma' then 'Handling note: Dispatch on without an overnight hold and state the plan.' end,
-  case when s.client = 'vertex_retail' and s.dest_hub = 'ludhiana' then 'Handling note: Arrivals after 18:00 wait and deliver at 08:00 next morning.' end,
-  case when s.client = 'vertex_retail' then 'Handling note: Call a held delivery a scheduled morning delivery.' end)
+concat_ws(' ', 'The vehicle with your goods is off the road, see our file ' || s.ticket_id || '.',
+  'Noted at the roadside: ' || s.issue || ', urgency ' || coalesce(s.severity, 'not set so far') || '.',
+  case when s.replacement is not null then s.replacement || ' leaves ' || s.origin_hub || ' to take the load over.'
+    else 'No substitute is fixed so far; its number and arrival follow.' end,
+  case when s.client = 'shakti_cement' then 'Delivery stays planned within 36 hours.' end,
+  case when s.mon in (7, 8, 9) and s.east then 'Rain season: 20% more time is part of every arrival we state.' end,
+  case when s.client = 'orion_pharma' then 'Please note: Dispatch on without an overnight hold and state the plan.' end,
+  case when s.client = 'vertex_retail' and s.dest_hub = 'ludhiana' then 'Please note: Arrivals after 18:00 wait and deliver at 08:00 next morning.' end,
+  case when s.client = 'vertex_retail' then 'Please note: Call a held delivery a scheduled morning delivery.' end)
 """
 
 
