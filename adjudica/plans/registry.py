@@ -38,6 +38,7 @@ def load_all() -> dict[str, Query]:
     from adjudica.plans import (  # noqa: F401
         queries_ask,
         queries_entities,
+        queries_queue,
         queries_run,
         queries_scalars,
         queries_sources,
