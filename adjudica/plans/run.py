@@ -15,6 +15,8 @@ from adjudica.rulebook import DEFAULT_RULES, Rule
 from adjudica.session import stage
 from adjudica.sources.context import sink_jsonl_sorted
 
+LEAK = "unexpected_error: personal data in the message"
+
 # Stored tables with their key and what orders rows of one key.
 TABLES = {
     "work_orders": (["ticket_id"], ["work_order_id"]),
@@ -47,6 +49,21 @@ def quarantined(done: decision.Decision, salt: str, source_file: str) -> DataFra
     return validate.quarantine_rows(parts[0].unionByName(parts[1]), "ticket_id", "raw_json", salt, ["source_file", "detected_at"])
 
 
+def leaking(messages: DataFrame, patterns: Sequence[P.Pattern] = P.DEFAULT_PATTERNS) -> DataFrame:
+    """Keys of drafted messages whose body, context or citations hold personal data."""
+    text = F.concat_ws(" ", "body", F.to_json("context"), F.to_json("citations"))
+    return messages.where(P.has_pii(text, patterns)).select("ticket_id")
+
+
+def _isolated(tickets: DataFrame, keys: DataFrame, salt: str, source_file: str) -> DataFrame:
+    """Quarantine rows, masked, of records that failed at the gate."""
+    rows = dedupe.dedupe_first(tickets.join(keys, "ticket_id", "left_semi"), ["ticket_id"], ["pos"])
+    rows = rows.select(
+        "ticket_id", "raw_json", F.array(F.lit(LEAK)).alias("reasons"), F.lit(source_file).alias("source_file"), F.col("created_at").alias("detected_at")
+    )
+    return validate.quarantine_rows(rows, "ticket_id", "raw_json", salt, ["source_file", "detected_at"])
+
+
 def audited(done: decision.Decision, rules: Sequence[Rule], source_file: str) -> DataFrame:
     """Audit rows of every record of the queue: decided, dropped as a copy, unusable, or without a vehicle."""
 
@@ -72,16 +89,20 @@ def run_queue(
 ) -> DataFrame:
     """Run one queue and add what is new to the tables under ``root``; one row per table with the rows added.
 
-    A queue that runs again adds nothing. All tables of a batch become visible together. Keys compare with
+    A record whose message would carry personal data gets no order and no message but a quarantine row; the
+    others are not held up by it. A queue that runs again adds nothing. All tables of a batch become visible together. Keys compare with
     those stored before, so two queues may share records.
     """
     spark = inputs.tickets.sparkSession
     done = decision.decide(inputs, rules)
     done = decision.Decision(stage(done.decided, "decided"), done.duplicates, done.invalid, done.orphans)
+    exclusions = select.exclusion_rules(rules)
+    failed = stage(leaking(assemble.draft_messages(done.decided, exclusions)), "leaking")
+    done = decision.Decision(done.decided.join(failed, "ticket_id", "left_anti"), done.duplicates, done.invalid, done.orphans)
     made = {
         "work_orders": assemble.build_orders(done.decided),
-        "comms": assemble.draft_messages(done.decided, select.exclusion_rules(rules)),
-        "quarantine": quarantined(done, salt, source_file),
+        "comms": assemble.draft_messages(done.decided, exclusions),
+        "quarantine": quarantined(done, salt, source_file).unionByName(_isolated(inputs.tickets, failed, salt, source_file)),
         "audit": audited(done, rules, source_file),
     }
     frames = {}
