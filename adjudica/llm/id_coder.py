@@ -27,7 +27,7 @@ from adjudica.session import scratch_path
 MAGIC = b"IDCM1\n"
 BLOCK = 8192  # ids; counts of a block then never outgrow the coder's 16 bits
 SEGMENT = 64 * BLOCK  # ids after which a file row ends, at the next end of a document
-LANES = 1024
+LANES = 768  # about 300 MB of tables in a worker
 ROWS_PER_FILE = 6_000  # documents, as long as that gives fewer files than the next number
 MOST_FILES = 20_000
 
@@ -282,7 +282,7 @@ def unpack(payloads: list[bytes]) -> list[np.ndarray]:
 class WordIds:
     """Ids of whole texts by a word tokenizer that drops white space; white-space separated pieces are remembered."""
 
-    REMEMBERED = 500_000
+    REMEMBERED = 300_000
 
     def __init__(self, data: bytes) -> None:
         from tokenizers import Tokenizer
