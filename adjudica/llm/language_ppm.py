@@ -20,19 +20,26 @@ from pyspark.sql import functions as F
 
 TRAIN_ROWS = 4000  # labelled documents per language that the trees are fitted on, about
 UNDETERMINED = "und"
-_SYMBOLS = 64  # classes: the 63 commonest bytes and one for all others, which share its probability
+_SYMBOLS = 64  # the 63 commonest bytes, whose triples have a dense table, and one class for the others, whose triples are looked up
 _START = b"\n\n"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Code lengths in bits by (two bytes before, byte) and language."""
+    """Code lengths in bits by (two bytes before, byte) and language, over all 256 byte values.
+
+    ``bits`` repeats those of the commonest bytes by class triple; no text is coded by the class of the others.
+    """
 
     languages: list[str]
     classes: np.ndarray  # byte -> class
     bits: np.ndarray  # class triple -> bits per language
-    rare_bits: float  # bits that tell the bytes of the last class apart
+    context: np.ndarray  # two bytes -> row of a context that any language has seen, 0 for none
+    place: np.ndarray  # row and byte -> place in ``seen``, 0 for a triple that no language has seen
+    seen: np.ndarray  # bits of the triples that any language has seen, per language
+    escapes: np.ndarray  # row -> bits per language that a byte new in this context costs besides those of ``after``
+    after: np.ndarray  # (byte before, byte) -> bits per language
 
 
 def _bytes(text: str) -> bytes:
@@ -58,17 +65,59 @@ def _follow(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
         return own + left * np.where(mass > 0, rest / np.where(mass > 0, mass, 1), 0.0)
 
 
-def tree_bits(triples: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Code lengths of one language for every class triple."""
-    k = _SYMBOLS
-    code = (classes[triples >> 16].astype(np.int64) * k + classes[(triples >> 8) & 255]) * k + classes[triples & 255]
-    two = np.bincount(code, weights=counts, minlength=k**3).reshape(k * k, k)
-    one = two.reshape(k, k, k).sum(0)
-    none = one.sum(0, keepdims=True)
-    p0 = _follow(none, np.full((1, k), 1.0 / k))
-    p1 = _follow(one, np.repeat(p0, k, 0))
-    p2 = _follow(two, np.tile(p1, (k, 1)))
-    return -np.log2(p2).reshape(-1)
+def _tree(triples: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of one language: bits after one byte, the two-byte contexts seen, bits of every byte in these, and bits of their escapes."""
+    contexts, row = np.unique(triples >> 8, return_inverse=True)
+    two = np.bincount(row * 256 + (triples & 255), weights=counts, minlength=len(contexts) * 256).reshape(-1, 256)
+    one = np.bincount(triples & 0xFFFF, weights=counts, minlength=1 << 16).reshape(256, 256)
+    p0 = _follow(one.sum(0, keepdims=True), np.full((1, 256), 1.0 / 256))
+    p1 = _follow(one, np.repeat(p0, 256, 0))
+    below = p1[contexts & 255]
+    kinds, mass = (two > 0).sum(1), np.where(two > 0, 0.0, below).sum(1)
+    escapes = np.where(mass > 0, np.log2(np.where(mass > 0, mass, 1)) - np.log2(kinds / (two.sum(1) + kinds)), 0.0)
+    return -np.log2(p1).reshape(-1), contexts, -np.log2(_follow(two, below)), escapes
+
+
+def _exact(m: Model, triples: np.ndarray) -> np.ndarray:
+    """Bits per language of byte triples of any kind."""
+    row = m.context[triples >> 8]
+    place = m.place[row * 256 + (triples & 255)]
+    out = m.seen[place]
+    new = np.flatnonzero(place == 0)
+    out[new] = m.escapes[row[new]] + m.after[triples[new] & 0xFFFF]
+    return out
+
+
+def _model(table: pd.DataFrame) -> Model:
+    """The trees of the languages in rows of ``lang``, ``triple`` and ``n``."""
+    by_byte = np.bincount(table["triple"] & 255, weights=table["n"], minlength=256)
+    classes = np.full(256, _SYMBOLS - 1, np.uint8)
+    common = sorted(range(256), key=lambda b: (-by_byte[b], b))[: _SYMBOLS - 1]
+    classes[common] = np.arange(len(common))
+    languages = sorted(table["lang"].unique())
+    triples = np.unique(table["triple"].to_numpy(np.int32))
+    known = np.unique(triples >> 8)
+    context = np.zeros(1 << 16, np.int32)
+    context[known] = np.arange(1, len(known) + 1)
+    place = np.zeros((len(known) + 1) * 256, np.int32)
+    place[context[triples >> 8] * 256 + (triples & 255)] = np.arange(1, len(triples) + 1)
+    n = len(languages)
+    seen, escapes, after = (np.zeros((rows, n), np.float32) for rows in (len(triples) + 1, len(known) + 1, 1 << 16))
+    for k, lang in enumerate(languages):
+        own = table[table["lang"] == lang]
+        after[:, k], contexts, bits, left = _tree(own["triple"].to_numpy(np.int32), own["n"].to_numpy())
+        escapes[context[contexts], k] = left
+        row = np.minimum(np.searchsorted(contexts, triples >> 8), len(contexts) - 1)
+        seen[1:, k] = np.where(contexts[row] == triples >> 8, bits[row, triples & 255], after[triples & 0xFFFF, k])
+    dense = np.full((_SYMBOLS,) * 3 + (n,), np.log2(_SYMBOLS), np.float32)
+    m = Model(languages, classes, dense.reshape(_SYMBOLS**3, n), context, place, seen, escapes, after)
+    others = np.flatnonzero(classes == _SYMBOLS - 1)
+    pairs = np.array(common, np.int32)[:, None] << 8 | np.arange(256, dtype=np.int32)
+    for first, b in enumerate(common):
+        bits = _exact(m, (b << 16 | pairs).reshape(-1)).reshape(len(common), 256, n)
+        dense[first, :-1, :-1] = bits[:, common]
+        dense[first, :-1, -1] = -np.log2(np.exp2(-bits[:, others].astype(np.float64)).sum(1))
+    return m
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", train_rows: int = TRAIN_ROWS) -> Model:
@@ -80,7 +129,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     rows = docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(label_column).count().collect()}
     if not sizes:
-        return Model([], np.zeros(256, np.uint8), np.zeros((_SYMBOLS**3, 0), np.float32), 0.0)
+        return _model(pd.DataFrame({"lang": pd.Series(dtype=str), "triple": pd.Series(dtype=np.int32), "n": pd.Series(dtype=np.int64)}))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, train_rows / n))])
     drawn = F.pmod(F.xxhash64(F.col(id_column), F.lit(8)), F.lit(1_000_003)) < share[F.col(label_column)] * 1_000_003
 
@@ -92,14 +141,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
                 yield pd.DataFrame({"lang": lang, "triple": found, "n": n.astype(np.int64)})
 
     parts = rows.where(drawn).select(F.col(label_column).alias("lang"), F.col(text_column).alias("text")).mapInPandas(count, "lang string, triple int, n bigint")
-    table = parts.groupBy("lang", "triple").agg(F.sum("n").alias("n")).toPandas()
-    by_byte = np.bincount(table["triple"] & 255, weights=table["n"], minlength=256)
-    classes = np.full(256, _SYMBOLS - 1, np.uint8)
-    common = sorted(range(256), key=lambda b: (-by_byte[b], b))[: _SYMBOLS - 1]
-    classes[common] = np.arange(len(common))
-    languages = sorted(table["lang"].unique())
-    bits = np.stack([tree_bits(t["triple"].to_numpy(), t["n"].to_numpy(), classes) for t in (table[table["lang"] == x] for x in languages)], axis=1)
-    return Model(languages, classes, bits.astype(np.float32), float(np.log2(256 - len(common))))
+    return _model(parts.groupBy("lang", "triple").agg(F.sum("n").alias("n")).toPandas())
 
 
 def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
@@ -107,11 +149,17 @@ def code_lengths(model: Model, texts: list[str]) -> np.ndarray:
     out = np.zeros((len(texts), len(model.languages)))
     k = _SYMBOLS
     for at, text in enumerate(texts):
-        b = model.classes[np.frombuffer(_bytes(text), dtype=np.uint8)].astype(np.int32)
+        b = np.frombuffer(_bytes(text), dtype=np.uint8)
         for start in range(0, len(b) - 2, 1 << 20):
-            c = b[start : start + (1 << 20) + 2]
-            out[at] += model.bits[(c[:-2] * k + c[1:-1]) * k + c[2:]].sum(0, dtype=np.float64)
-        out[at] += model.rare_bits * np.count_nonzero(b[2:] == k - 1)
+            own = b[start : start + (1 << 20) + 2]
+            c = model.classes[own].astype(np.int32)
+            code = (c[:-2] * k + c[1:-1]) * k + c[2:]
+            other = c == k - 1
+            if other.any():
+                other = other[:-2] | other[1:-1] | other[2:]
+                out[at] += _exact(model, _triples([own.tobytes()])[other]).sum(0, dtype=np.float64)
+                code = code[~other]
+            out[at] += model.bits[code].sum(0, dtype=np.float64)
     return out
 
 

@@ -236,6 +236,57 @@ def test_byte_trees_are_distributions_and_predict(llm):
     assert all(got[k]["lang_pred"] == x for k, _, x in rows) and got[900]["lang_pred"] == got[901]["lang_pred"] == "und"
 
 
+def test_rare_scripts_beside_a_dominant_one(llm):
+    import string
+
+    from adjudica.llm import language_ppm
+
+    pick = random.Random(17)
+    # Words of one length, so that only the bytes of the two rare languages can tell them apart.
+    letters = {"en": string.printable[:94], "el": "αβγδεζηθ", "ru": "абвгдежз"}
+    names = ["en"] * 40 + ["el", "ru"]
+    rows = [(k, " ".join("".join(pick.choice(letters[x]) for _ in range(5)) for _ in range(30)), x) for k in range(1200) for x in [names[k % 42]]]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_ppm.fit(docs.where("doc_id < 600"))
+    got = {r["doc_id"]: r["lang_pred"] for r in language_ppm.predict(docs, model).collect()}
+    assert got == {k: x for k, _, x in rows}
+
+
+def test_code_lengths_equal_trees_over_bytes():
+    import pandas as pd
+
+    from adjudica.llm import language_ppm
+
+    pick = random.Random(18)
+    texts = {"a": ["".join(pick.choice("abc é中я") for _ in range(80)) for _ in range(5)], "b": ["".join(pick.choice("abdя ж") for _ in range(80)) for _ in range(5)]}
+    rows, counts = [], {}
+    for lang, own in texts.items():
+        found = counts.setdefault(lang, {})
+        for t in own:
+            b = language_ppm._bytes(t)
+            for i in range(2, len(b)):
+                for n in (0, 1, 2):
+                    found.setdefault(b[i - n : i], {}).setdefault(b[i], 0)
+                    found[b[i - n : i]][b[i]] += 1
+        keep, n = np.unique(np.concatenate([language_ppm._triples([language_ppm._bytes(t)]) for t in own]), return_counts=True)
+        rows.append(pd.DataFrame({"lang": lang, "triple": keep, "n": n}))
+
+    def chance(found, before, byte):
+        below = (lambda x: chance(found, before[1:], x)) if before else (lambda x: 1 / 256)
+        here = found.get(before)
+        if not here:
+            return below(byte)
+        rest = sum(below(x) for x in range(256) if x not in here)
+        total = sum(here.values()) + (len(here) if rest > 0 else 0)
+        return here[byte] / total if byte in here else len(here) / total * below(byte) / rest
+
+    model = language_ppm._model(pd.concat(rows))
+    for t in ("abc é中", "яж zq", "Ωab"):
+        b = language_ppm._bytes(t)
+        want = [-sum(np.log2(chance(counts[x], b[i - 2 : i], b[i])) for i in range(2, len(b))) for x in ("a", "b")]
+        assert np.allclose(language_ppm.code_lengths(model, [t])[0], want, rtol=1e-5)
+
+
 # --- 7 ---------------------------------------------------------------------------------------------
 
 
