@@ -1,6 +1,6 @@
 """Secret scan: fixed forms, and character Markov models of random strings and of ordinary identifiers.
 
-Strings that a fixed form finds are labelled random, the other identifiers of the sampled texts ordinary.
+Strings that a fixed form finds in any text are labelled random, the other identifiers of sampled texts ordinary.
 Per class the counts of character pairs give the probability of a character after another one. A long
 enough identifier outside the fixed forms is a secret if the logarithm of its likelihood ratio between the
 two models, per character, reaches a threshold.
@@ -24,7 +24,6 @@ HEX = r"[0-9a-f]{32,}"
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "markov")
 
-SAMPLE_ROWS = 20_000  # documents the random strings are learned from, about
 ORDINARY_ROWS = 2_000  # documents the ordinary identifiers are learned from, about
 SHORTEST = 20  # characters of an identifier that is judged
 THRESHOLD = 0.75  # per character, natural logarithm
@@ -86,14 +85,15 @@ def _pair_counts(strings: DataFrame) -> dict[tuple[str, str], int]:
     return {tuple(r[0]): r[1] for r in pairs.where(F.length("pair") == 2).groupBy("pair").count().collect()}
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> Model:
-    """Learn both models from about so many documents, chosen by a hash of the id.
+def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", ordinary_rows: int = ORDINARY_ROWS) -> Model:
+    """Learn random strings from the fixed forms of all documents, ordinary identifiers from about so many.
 
-    Without any fixed form in the sample nothing tells random strings apart, and every ratio is 0.
+    The latter are chosen by a hash of the id. Without any fixed form in the table nothing tells random strings
+    apart, and every ratio is 0.
     """
     n = docs.count()
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    secrets = rows.where(sample_filter(F.col("id"), n, sample_rows, 3)).select(F.explode(fixed_forms(F.col("text"))).alias("span"))
+    secrets = rows.select(F.explode(fixed_forms(F.col("text"))).alias("span"))
     value = F.when(F.col("span.kind") == 0, F.regexp_extract("span.text", ASSIGN, 2)).otherwise(F.col("span.text"))
     random = _pair_counts(secrets.select(value.alias("string")))
     plain = rows.where(sample_filter(F.col("id"), n, ordinary_rows, 33))

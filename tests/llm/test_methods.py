@@ -167,6 +167,23 @@ def test_markov_models_find_random_strings(llm):
     assert clean[0].endswith(" [SECRET]") and clean[0][:-9] == rows[0][1].rsplit(" ", 1)[0]
 
 
+def test_rare_fixed_forms_are_all_learned_from(llm):
+    from pyspark.sql import functions as F
+
+    from adjudica.llm import secrets_markov
+    from adjudica.llm.shared import sample_filter
+
+    n, code = 40_000, lambda k: F.substring(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit(k)).cast("binary"), 256), 1, 28)
+    # The few labelled strings stand outside any draw of 20,000 documents by the id.
+    labelled = ~sample_filter(F.col("doc_id"), n, 20_000, 3) & (F.col("doc_id") % 400 < 2)
+    plain = F.lit("understanding internationalization_of_things configuration settings representative documentation")
+    text = F.when(F.col("doc_id") == 7, F.concat(F.lit("see "), code("x"))).when(labelled, F.concat(plain, F.lit(" password="), code("y"))).otherwise(plain)
+    docs = llm.range(n).withColumnRenamed("id", "doc_id").withColumn("text", text)
+    model = secrets_markov.fit(docs)
+    found = secrets_markov.scan(docs, model).where(F.size("added") > 0).collect()
+    assert [(r["doc_id"], r["added"][0]["start"], r["added"][0]["end"]) for r in found] == [(7, 4, 32)]
+
+
 # --- 5 ---------------------------------------------------------------------------------------------
 
 
