@@ -6,7 +6,7 @@ Once every slot holds less than the next step, no later step can change anything
 after one or two steps for all but short documents. Slots agree with the probability of the sets'
 likeness, with less variance than independent slots because a shingle ranks the slots without repeats.
 
-Equal sets are one class and go on as its smallest document. Classes meet in the buckets of their bands.
+Equal sets are one class, named by its smallest document. Classes meet in the buckets of their bands.
 In a bucket nobody meets everybody: every class is checked against the bucket's head, its most central
 class, and what that links is one group. Where a head still has classes of different groups, two of them can
 only be alike if they differ from the head in the same way, so they meet over the rare changes they share,
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adjudica.llm.components import components
@@ -109,21 +109,27 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
             at, held, size = k + 1, [], 0
 
 
+def _sums(sets: list[np.ndarray]) -> np.ndarray:
+    """Two sums over the mixed shingles of every set, which with its size tell sets apart."""
+    return np.array([(_mix(s).sum(), _mix(s ^ _GAMMA).sum()) if len(s) else (0, 0) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, sets in _groups(batch):
             bands = _bands(signatures(sets), BANDS).view(np.int64)
-            sums = np.array([(_mix(s).sum(), _mix(s ^ _GAMMA).sum()) if len(s) else (0, 0) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+            sums = _sums(sets)
             offsets = np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(at, len(sets)),
+                    batch.column(2).slice(at, len(sets)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(sums[:, 0]),
                     pa.array(sums[:, 1]),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.reshape(-1))),
                 ],
-                names=["doc_id", "n", "f1", "f2", "bands"],
+                names=["doc_id", "body", "n", "f1", "f2", "bands"],
             )
 
 
@@ -132,9 +138,9 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, sets in _groups(batch):
             offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, len(sets)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["node", "shingles"]
-            )
+            sums, sizes = _sums(sets), pa.array([len(s) for s in sets], pa.int64())
+            shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), sizes, pa.array(sums[:, 0]), pa.array(sums[:, 1]), shingles], names=["doc_id", "n", "f1", "f2", "shingles"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
@@ -190,36 +196,48 @@ def _candidates(apart: DataFrame, groups: DataFrame, similarity: int) -> DataFra
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _class(id_column: str) -> Column:
+    """Name of a class: its smallest id and a hash of its set, as a repeated id may be the smallest of several."""
+    return F.struct(F.col(id_column).alias("id"), F.xxhash64("n", "f1", "f2").alias("tie"))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: the id column, ``n_shingles``, ``component_id`` and ``kept``.
 
     Words are what stands between ASCII white space, A-Z in lower case. A text of fewer than five words is
     one shingle; a null or wordless text has none and is linked with nothing. ``component_id`` is the
-    smallest id reachable over links. Rows that repeat an id are each linked by their own text. A row with
-    a null id is linked with nothing, has a null component and is kept. Other columns are not looked at.
+    smallest id reachable over links. Rows that repeat an id are each linked and kept by their own text. A
+    row with a null id is linked with nothing, has a null component and is kept. Other columns are not looked at.
     """
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    sketch = stage(rows.mapInArrow(_sketch, "doc_id bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"), "minhash-sketch")
+    return decisions(docs, id_column, text_column, similarity).select(F.col("doc_id").alias(id_column), "n_shingles", "component_id", "kept")
+
+
+def decisions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: int = SIMILARITY) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``doc_id``, ``body`` (xxhash64 of the text) and ``tie`` (of the set of shingles, null without)."""
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"), F.xxhash64(docs[text_column]).alias("body"))
+    sketch = stage(rows.mapInArrow(_sketch, "doc_id bigint, body bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"), "minhash-sketch")
     wordy = sketch.where("n > 0 and doc_id is not null")
-    classes = wordy.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"))
-    classes = stage(classes, "minhash-classes")
-    nodes = wordy.join(classes, ["n", "f1", "f2"]).where("doc_id = node").select("node", "n", "bands").dropDuplicates(["node", "n"])
+    classes = wordy.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"))
+    classes = stage(classes.select("n", "f1", "f2", _class("id").alias("node")), "minhash-classes")
+    nodes = wordy.join(classes, ["n", "f1", "f2"]).where("doc_id = node.id").select("node", "n", "bands").dropDuplicates(["node"])
     places = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     crowded = stage(places.join(sizes, "bucket"), "minhash-buckets")
     # The head of a bucket is its most central class: the one that meets most others over all its buckets.
     degrees = crowded.groupBy("node").agg(F.sum("size").alias("degree"))
-    heads = crowded.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("top"))
-    heads = heads.select("bucket", (-F.col("top.col2")).alias("head"))
+    heads = crowded.join(degrees, "node").groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("degree"), "node")).alias("top"))
+    heads = heads.select("bucket", F.col("top.node").alias("head"))
     shared = crowded.join(heads, "bucket").where("node <> head").groupBy("head", "node").count()
     shared = stage(shared, "minhash-heads")
 
     # First every class against the head it shares most bands with.
-    best = shared.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("top"))
-    best = best.select((-F.col("top.col2")).alias("a"), F.col("node").alias("b"))
-    wanted = shared.select(F.explode(F.array("head", "node")).alias("doc_id")).distinct()
-    texts = rows.join(wanted, "doc_id", "left_semi")
-    sets = stage(texts.mapInArrow(_full, "node bigint, shingles array<bigint>").dropDuplicates(["node", "shingles"]), "minhash-sets")
+    best = shared.groupBy("node").agg(F.min(F.struct((-F.col("count")).alias("count"), "head")).alias("top"))
+    best = best.select(F.col("top.head").alias("a"), F.col("node").alias("b"))
+    wanted = shared.select(F.explode(F.array("head.id", "node.id")).alias("doc_id")).distinct()
+    texts = rows.drop("body").join(wanted, "doc_id", "left_semi")
+    # Texts of other classes that repeat a wanted id are sets that no pair names.
+    full = texts.mapInArrow(_full, "doc_id bigint, n bigint, f1 bigint, f2 bigint, shingles array<bigint>")
+    sets = stage(full.select(_class("doc_id").alias("node"), "shingles").dropDuplicates(["node", "shingles"]), "minhash-sets")
     links = stage(_verified(best, sets, similarity), "minhash-links")
 
     # Then heads whose classes are in several groups: how each class differs from the head.
@@ -232,10 +250,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     groups = components(links)
 
     named = sketch.join(classes, ["n", "f1", "f2"], "left").join(groups, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node", "doc_id"))
+    top = F.coalesce("root", "node")
     return named.select(
-        F.col("doc_id").alias(id_column),
+        "doc_id",
+        "body",
+        F.col("node.tie").alias("tie"),
         F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce(top["id"], "doc_id")).alias("component_id"),
+        F.coalesce((F.col("doc_id") == top["id"]) & (F.col("node") == top), F.lit(True)).alias("kept"),
     )

@@ -118,6 +118,17 @@ def test_near_duplicates_equal_all_pairs(llm):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == _components(rows)
 
 
+def test_rows_that_repeat_an_id_are_linked_by_their_own_text(llm):
+    from adjudica.llm.superminhash import near_duplicates
+
+    text = lambda x, end="": " ".join(f"{x}{k}" for k in range(60)) + end
+    # Document 30 has three unrelated texts of one length; each has a near copy under an id of its own.
+    rows = [(30, text("a")), (30, text("b")), (30, text("c")), (29, text("a", " x")), (31, text("b", " x")), (32, text("c", " x"))]
+    got = near_duplicates(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    want = [(29, 29, True), (30, 29, False), (30, 30, True), (30, 30, True), (31, 30, False), (32, 30, False)]
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == want
+
+
 def test_components_of_chains_and_stars(llm):
     from adjudica.llm.components import components
 
