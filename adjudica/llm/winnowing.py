@@ -73,11 +73,16 @@ def item_windows(items: DataFrame, id_column: str = "item_id", text_column: str
     return parts.groupBy("window", "length", "print").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
+def body_of(text: Column) -> Column:
+    """Hash of a text, null counting as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """One row per row of ``docs``: the id column, ``n_words``, ``hits`` (start and end word) and ``items``.
+    """One row per row of ``docs``: the id column, ``n_words``, ``hits`` (start and end word), ``items`` and ``body``.
 
     ``hits`` are all windows of the document that an item holds, ``items`` the sorted ids (strings) of those
-    items. Null and empty texts have no words and no hits. Repeated rows give repeated rows, equal windows
+    items, ``body`` tells rows of one id apart (``body_of`` their text). Null and empty texts have no words and no hits. Repeated rows give repeated rows, equal windows
     of several items name them all, an item with a null id is called ``null``. Other columns are not
     looked at.
     """
@@ -85,7 +90,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     prints = known.select("print").distinct()
     lengths = sorted(r[0] for r in known.select("length").distinct().collect())
     words = F.col("words")
-    rows = docs.select(docs[id_column].alias("id"), F.xxhash64(F.coalesce(docs[text_column], F.lit(""))).alias("body"), words_of(docs[text_column]).alias("words"))
+    rows = docs.select(docs[id_column].alias("id"), body_of(docs[text_column]).alias("body"), words_of(docs[text_column]).alias("words"))
     runs = F.concat(*[_runs(words, n, gram) for n in lengths]) if lengths else F.array().cast("array<struct<length:int,first:int,last:int,print:bigint>>")
     # A first entry without fingerprint stands for the document itself.
     itself = F.array(F.struct(F.lit(0).alias("length"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(None).cast("bigint").alias("print")))
@@ -114,7 +119,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return grouped.select(F.col("id").alias(id_column), F.col("n_words").cast("long").alias("n_words"), "hits", "items", copies.alias("copy")).drop("copy")
+    return grouped.select(F.col("id").alias(id_column), F.col("n_words").cast("long").alias("n_words"), "hits", "items", "body", copies.alias("copy")).drop("copy")
 
 
 def covered(hits: Column) -> Column:

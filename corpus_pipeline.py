@@ -19,17 +19,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; rows without id stay."""
-    found = superminhash.near_duplicates(docs)
-    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """One document of each group of near-duplicates, the one with the smallest id; rows without id stay.
+
+    Each row is judged by its own text, so unrelated texts under one id all stay. Of copies equal in id and text
+    one stays, and of one id's texts with equal shingles the one whose hash is smallest.
+    """
+    found = superminhash.decisions(docs).where("kept and doc_id is not null")
+    kept = found.groupBy("doc_id", F.coalesce("tie", "body").alias("tie")).agg(F.min("body").alias("_kept_body")).withColumnRenamed("doc_id", "_kept_id")
+    named = docs.where("doc_id is not null").withColumn("_body", F.xxhash64("text"))
+    same = (F.col("doc_id") == F.col("_kept_id")) & (F.col("_body") == F.col("_kept_body"))
+    own = named.join(kept.select("_kept_id", "_kept_body"), same, "left_semi").dropDuplicates(["doc_id", "_body"])
+    return own.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window with a benchmark item."""
+    """Documents that share no window with a benchmark item; rows that share an id, or have none, go by their own text."""
     found = winnowing.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    dirty = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("dirty_id")), "left_anti").select(docs.columns)
+    dirty = found.where(F.size("hits") > 0).select(F.col("doc_id").alias("_dirty_id"), F.col("body").alias("_dirty_body")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_dirty_id")) & (winnowing.body_of(F.col("text")) == F.col("_dirty_body"))
+    return docs.join(dirty, same, "left_anti").select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,23 @@ def test_pipeline_on_odd_rows(llm, sf_dir):
     assert seen["decontaminate"] == [0, 8, 9] and seen["encode"] == [0, 8, 9]
 
 
+def test_pipeline_judges_rows_that_share_an_id_by_their_own_text(llm, sf_dir):
+    import corpus_pipeline
+
+    text = lambda x, end="": " ".join(f"{x}{k}" for k in range(60)) + end
+    item = " it was seen by all of them there and so on it went"
+    dirty = [(None, text("n", item)), (40, text("p", item))]
+    clean = [(None, text("o")), (None, text("q")), (40, text("r")), (40, text("s")), (39, text("t"))]
+    # A near copy of document 39 and a copy equal in id and text go.
+    gone = [(40, text("t", " x")), (40, text("r"))]
+    docs = llm.createDataFrame(dirty + clean + gone, "doc_id bigint, text string").repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: Counter((r["doc_id"], r["text"]) for r in df.collect())
+    left = stages["near_dedup"](llm, docs, sf_dir)
+    assert rows(left) == Counter(dirty + clean)
+    assert rows(stages["decontaminate"](llm, left, sf_dir)) == Counter(clean)
+
+
 def test_pipeline_on_an_empty_table(llm, no_docs, sf_dir):
     import corpus_pipeline
 
