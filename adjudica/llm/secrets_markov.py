@@ -74,8 +74,20 @@ def fixed_forms(text: Column) -> Column:
     return F.array_sort(F.concat(assign, access, hexadecimal))
 
 
-def _inside(spans: Column, span: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+def _outside(spans: Column, run: Column, shortest: int) -> Column:
+    """The pieces of a run that no span (sorted by start) covers, those of ``shortest`` characters or more."""
+    touching = F.filter(spans, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    start = F.struct(run["start"].alias("at"), _none().alias("pieces"))
+
+    def until(acc: Column, end: Column) -> Column:
+        text = F.substring(run["text"], acc["at"] - run["start"] + 1, end - acc["at"])
+        piece = F.struct(acc["at"].alias("start"), end.alias("end"), run["kind"].alias("kind"), text.alias("text"))
+        return F.when(end - acc["at"] >= shortest, F.concat(acc["pieces"], F.array(piece))).otherwise(acc["pieces"])
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), until(acc, b["start"]).alias("pieces"))
+
+    return F.aggregate(touching, start, step, lambda acc: until(acc, run["end"]))
 
 
 def _pair_counts(strings: DataFrame) -> dict[tuple[str, str], int]:
@@ -135,7 +147,8 @@ def _with_spans(docs: DataFrame, model: Model, text_column: str, shortest: int,
     pattern = IDENTIFIER % shortest
 
     def random(base: Column) -> Column:
-        return F.filter(_matches(text, pattern, 3), lambda s: ~_inside(base, s) & (_ratio(s["text"], model) >= threshold))
+        pieces = F.flatten(F.transform(_matches(text, pattern, 3), lambda s: _outside(base, s, shortest)))
+        return F.filter(pieces, lambda s: _ratio(s["text"], model) >= threshold)
 
     return rows.withColumn("_added", F.when(text.rlike(pattern), let(F.col("_base"), random)).otherwise(_none()))
 
@@ -143,7 +156,8 @@ def _with_spans(docs: DataFrame, model: Model, text_column: str, shortest: int,
 def scan(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", shortest: int = SHORTEST, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` (id column) with ``base`` and ``added`` spans: start, end (code points), kind, text.
 
-    ``kind`` is the place in ``KINDS``. Added spans never overlap base ones. A null text counts as empty;
+    ``kind`` is the place in ``KINDS``. Added spans never overlap base ones; of an identifier that touches base
+    spans each piece outside them is judged, as far as it has ``shortest`` characters. A null text counts as empty;
     repeated rows give repeated rows; other columns are not looked at.
     """
     rows = docs.select(docs[id_column].alias("id"), docs[text_column].alias("text"))

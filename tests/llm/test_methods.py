@@ -178,6 +178,23 @@ def test_markov_models_find_random_strings(llm):
     assert clean[0].endswith(" [SECRET]") and clean[0][:-9] == rows[0][1].rsplit(" ", 1)[0]
 
 
+def test_random_strings_that_touch_a_fixed_form_are_judged(llm):
+    from adjudica.llm import secrets_markov
+
+    pick = random.Random(12)
+    code = lambda n: "".join(pick.choice("0123456789abcdef") for _ in range(n))
+    plain = "understanding internationalization_of_things configuration settings representative documentation"
+    rows = [(k, f"{plain} password={code(20)}") for k in range(200)]
+    access, key, rest = "AKIA" + "B7K2" * 4, code(20) + "g" + code(19), "g" + code(27)
+    joined = [(900, f"see {access}/{key}."), (901, f"id={code(32)}-{rest} and internationalization_of_documentation"), (902, f"internationalization_of_documentation/{access}")]
+    docs = llm.createDataFrame([*rows, *joined], "doc_id bigint, text string")
+    model = secrets_markov.fit(docs)
+    found = {r["doc_id"]: [(s["start"], s["text"]) for s in r["added"]] for r in secrets_markov.scan(docs, model).collect() if r["doc_id"] >= 900}
+    assert found == {900: [(24, "/" + key)], 901: [(35, "-" + rest)], 902: []}
+    clean = {r["doc_id"]: r["text"] for r in secrets_markov.redact(docs, model).collect()}
+    assert clean[900] == "see [SECRET][SECRET]." and clean[901] == "id=[SECRET][SECRET] and internationalization_of_documentation"
+
+
 def test_rare_fixed_forms_are_all_learned_from(llm):
     from pyspark.sql import functions as F
 
