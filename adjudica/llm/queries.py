@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, url_asof, winnowing
+from adjudica.llm import bloom_search, filter_audit, id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, url_asof, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -190,3 +190,56 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(turn == 0, host).when(turn == 1, F.regexp_replace(host, r"^[^.]+\.", "")).otherwise(F.concat(host, F.coalesce(F.concat(F.lit("/"), part), F.lit("")))).alias("pattern"),
     )
     return url_asof.filter_urls(pages.withColumn("fetched_on", day(53)), entries)
+
+
+_OP12_SQL = r"""
+with recursive letters as (select unnest(['A', 'B', 'C', 'D', 'E']) x),
+orders as (select x filter_order from letters union all
+    select filter_order || x from orders, letters where length(filter_order) < 5 and not contains(filter_order, x)),
+o as (select filter_order, unnest(range(1, 6)) step from orders where length(filter_order) = 5),
+t as (select doc_id, coalesce(source, '') part, coalesce(text, '') text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') w from t),
+first as (select text, min(doc_id) first from t group by 1),
+marks as (select doc_id, max(coalesce(quality = 1, false)) good, max(coalesce(toxic = 1, false)) toxic from labels group by 1),
+f as (select w.doc_id, part, case when len(w) < 200 then 'A' else '' end || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+    || case when 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) then 'C' else '' end
+    || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+    || case when w.doc_id > first then 'E' else '' end fails, coalesce(good, false) good, coalesce(toxic, false) toxic
+    from w join first using (text) left join marks using (doc_id)),
+c as (select part, fails, count(*) n, count(*) filter (good) good, count(*) filter (toxic) toxic from f group by all),
+s as (select part, filter_order, step, n, good, toxic, fails, contains(fails, substr(filter_order, step, 1)) here,
+    translate(substr(filter_order, 1, step - 1), fails, '') <> substr(filter_order, 1, step - 1) gone from c, o),
+r as (select part, filter_order, step, cast(sum(case when not here and not gone then n else 0 end) as bigint) kept,
+    cast(sum(case when here and not gone then n else 0 end) as bigint) removed, cast(sum(case when here and gone then n else 0 end) as bigint) redundant,
+    cast(sum(case when here and length(fails) = 1 then n else 0 end) as bigint) unique_fails,
+    cast(sum(case when here and not gone then good else 0 end) as bigint) good_lost,
+    cast(sum(case when here and not gone then toxic else 0 end) as bigint) toxic_lost from s group by all)
+select part, filter_order, cast(step as integer) step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  cast(sum(removed) over (partition by part, substr(filter_order, step, 1)) as bigint) shapley from r
+"""
+
+
+@_query("op12_filter_audit", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return filter_audit.audit(filter_audit.masks(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")))
+
+
+_TERMS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_OP13_SQL = f"""
+with d as (select doc_id, {_TERMS_SQL} w from documents), sizes as (select count(*) n, sum(len(w)) l from d where len(w) > 0),
+q as (select item_id, t, count(*) times from (select item_id, unnest({_TERMS_SQL}) t from benchmark) group by all),
+tf as (select doc_id, n, t, count(*) tf from (select doc_id, len(w) n, unnest(w) t from d) group by all),
+df as (select t, count(*) df from tf group by 1),
+s as (select item_id, doc_id, sum(times * cast(floor(1000 * ln((2 * sizes.n + 2) / (2 * df + 1))) as bigint)
+    * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * tf.n * sizes.n) // cast(l as bigint))))) score
+    from q join tf using (t) join df using (t), sizes group by all),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id) rank from s where score > 0)
+select item_id, cast(rank as integer) rank, doc_id, cast(score as bigint) score from r where rank <= 20
+"""
+
+
+@_query("op13_ranked_search", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
