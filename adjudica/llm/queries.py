@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adjudica.llm import bloom_search, filter_audit, id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, superminhash, toxicity_mil, url_asof, winnowing
+from adjudica.llm import bloom_search, filter_audit, id_coder, language_ppm, license_setjoin, multiset_hash, secrets_markov, sentencepiece_table, suffix_dedup, superminhash, toxicity_mil, url_asof, winnowing
 from adjudica.llm.shared import fold, table, workers_find_package
 from adjudica.plans.registry import Query, Run
 
@@ -243,3 +243,9 @@ select item_id, cast(rank as integer) rank, doc_id, cast(score as bigint) score
 @_query("op13_ranked_search", _OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_search.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@_query("op11_suffix_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
