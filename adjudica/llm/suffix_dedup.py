@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import io
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,9 +31,6 @@ from adjudica.session import stage
 
 LENGTH = 50  # bytes of a repeated string
 GRAM = 20  # bytes of an anchor
-BLOCK_BYTES, SLICE_BYTES = 8_000_000, 1_000_000  # text of a block, and of a piece worked on at once
-BUCKET_BYTES = 8_000_000  # text of the corpus for one bucket of an exchange
-HOT = 1_000  # an anchor with more occurrences meets window by window
 _REACH = LENGTH - GRAM + 1  # windows that can share an anchor
 _WIDTH = LENGTH + _REACH - 1  # bytes they cover together
 
@@ -52,6 +50,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """How work is cut up; results don't depend on it."""
+
+    block: int = 8_000_000  # bytes of text in a block; a longer document is a block of its own
+    slice: int = 1_000_000  # bytes worked on at once
+    bucket: int = 8_000_000  # bytes of the corpus for one bucket of an exchange
+    hot: int = 1_000  # an anchor with more occurrences meets window by window
+
+
 class Prefixes:
     """Polynomial hashes of all prefixes of a text modulo 2^64; any substring's hash follows in one step."""
 
@@ -93,10 +101,11 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _BLOCKS = "ids array<bigint>, sizes array<bigint>, packed binary"
 
 
-def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packing(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     ids: list[int | None] = []
     sizes: list[int] = []
     texts: list[bytes] = []
+    size = 0
 
     def block() -> pa.RecordBatch:
         packed = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
@@ -109,8 +118,10 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids.append(batch.column(0)[row].as_py())
             texts.append((batch.column(1)[row].as_py() or "").encode("utf-8"))
             sizes.append(len(texts[-1]))
-            if sum(sizes) >= BLOCK_BYTES or len(sizes) >= 100_000:
+            size += sizes[-1]
+            if size >= most or len(sizes) >= 100_000:
                 yield block()
+                size = 0
     if ids:
         yield block()
 
@@ -127,11 +138,11 @@ def _opened(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np
 # Anchors.
 
 
-def _anchors(data: np.ndarray, ends: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+def _anchors(data: np.ndarray, ends: np.ndarray, known: np.ndarray, slice_: int) -> tuple[np.ndarray, ...]:
     """Runs of windows with one anchor: gram, first window, number of windows, place of the anchor, document."""
     found = []
-    for start in range(0, max(len(data) - LENGTH + 1, 0), SLICE_BYTES):
-        part = data[start : start + SLICE_BYTES + LENGTH - 1]
+    for start in range(0, max(len(data) - LENGTH + 1, 0), slice_):
+        part = data[start : start + slice_ + LENGTH - 1]
         prefixes, n = Prefixes(part), len(part) - LENGTH + 1
         grams = _mix(prefixes.of(np.arange(len(part) - GRAM + 1), GRAM))
         # The leftmost smallest gram of every window, by doubling the span looked at.
@@ -161,12 +172,12 @@ def _anchors(data: np.ndarray, ends: np.ndarray, known: np.ndarray) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _coded(batches: Iterator[pa.RecordBatch], bits: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _coded(batches: Iterator[pa.RecordBatch], bits: int, parts: int, slice_: int) -> Iterator[pa.RecordBatch]:
     """Per block and bucket the sorted codes of its anchors, how often each occurs, and whether in several documents."""
     for batch in batches:
         for row in range(batch.num_rows):
             data, ends, ids, known = _opened(batch, row)
-            grams, _, _, _, doc = _anchors(data, ends, known)
+            grams, _, _, _, doc = _anchors(data, ends, known, slice_)
             if not len(grams):
                 continue
             code = grams >> np.uint64(64 - bits)
@@ -182,7 +193,7 @@ def _coded(batches: Iterator[pa.RecordBatch], bits: int, parts: int) -> Iterator
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()), block, pa.array(blobs, pa.binary())], names=["bucket", "block", "codes"])
 
 
-def _shared(rows: pd.DataFrame) -> pd.DataFrame:
+def _shared(rows: pd.DataFrame, hot: int) -> pd.DataFrame:
     """For every block of a bucket which of its codes occur in several documents (1), and which of them often (2)."""
     held = [_thaw(b, "u8", "u2") for b in rows["codes"]]
     code = np.concatenate([np.cumsum(h[0]) for h in held])
@@ -191,7 +202,7 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     first = np.flatnonzero(np.append(True, code[order][1:] != code[order][:-1]))
     size = np.diff(np.append(first, len(code)))
     several = (size > 1) | (np.maximum.reduceat(times[order], first) >= 32_768)
-    often = np.add.reduceat(times[order] & 32_767, first) > HOT
+    often = np.add.reduceat(times[order] & 32_767, first) > hot
     flags = np.empty(len(code), np.uint8)
     flags[order] = np.repeat(np.where(several, 1 + often, 0).astype(np.uint8), size)
     parts = np.split(flags, np.cumsum([len(h[0]) for h in held])[:-1])
@@ -234,12 +245,12 @@ def _classes(key: np.ndarray, anchor: np.ndarray, length: np.ndarray, rows: np.n
         name[wrong] += np.uint64(1)  # a collision: these are another class
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch], bits: int, parts: int) -> Iterator[pa.RecordBatch]:
+def _surroundings(batches: Iterator[pa.RecordBatch], bits: int, parts: int, slice_: int) -> Iterator[pa.RecordBatch]:
     """Per block and bucket the distinct surroundings of shared anchors, with the places and documents that have them."""
     for batch in batches:
         for row in range(batch.num_rows):
             data, ends, ids, known = _opened(batch, row)
-            gram, at, many, anchor, doc = _anchors(data, ends, known)
+            gram, at, many, anchor, doc = _anchors(data, ends, known, slice_)
             if not len(gram):
                 continue
             _, place = np.unique(gram >> np.uint64(64 - bits), return_inverse=True)
@@ -452,7 +463,7 @@ def _power(wanted: float) -> int:
     return max(0, int(np.ceil(np.log2(max(wanted, 1)))))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id``, ``n_bytes``, ``n_removed``, ``spans``, ``kept``, ``kept_sha256``.
 
     A byte goes if a string of 50 bytes around it also starts in a row with a smaller id, both taken from the input. ``spans``
@@ -460,15 +471,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     character. A null text is empty. Texts below 50 bytes stay whole. A row with a null id stays whole and removes nothing;
     rows that share an id don't remove from each other. Other columns are not read; an empty table gives none.
     """
-    rows = docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(_packing, _BLOCKS)
+    rows = docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(lambda b: _packing(b, sizes.block), _BLOCKS)
     blocks = stage(rows.withColumn("block", F.monotonically_increasing_id()), "suffix-blocks")
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("n")).first()["n"] or 0
     # So many bits that hardly any anchor shares its code by chance, however large the corpus is.
-    parts = _power(total / BUCKET_BYTES)
+    parts = _power(total / sizes.bucket)
     bits = min(62, max(_power(total) + 2, parts + 8))
-    codes = blocks.mapInArrow(lambda b: _coded(b, bits, parts), "bucket bigint, block bigint, codes binary")
-    shared = codes.groupBy("bucket").applyInPandas(_shared, "block bigint, bucket bigint, flags binary")
+    codes = blocks.mapInArrow(lambda b: _coded(b, bits, parts, sizes.slice), "bucket bigint, block bigint, codes binary")
+    shared = codes.groupBy("bucket").applyInPandas(lambda rows: _shared(rows, sizes.hot), "block bigint, bucket bigint, flags binary")
     replies = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("replies"))
-    pieces = blocks.join(replies, "block").mapInArrow(lambda b: _surroundings(b, bits, parts), "bucket bigint, block bigint, pieces binary")
+    pieces = blocks.join(replies, "block").mapInArrow(lambda b: _surroundings(b, bits, parts, sizes.slice), "bucket bigint, block bigint, pieces binary")
     gone = pieces.groupBy("bucket").applyInPandas(_repeats, "block bigint, gone binary").groupBy("block").agg(F.collect_list("gone").alias("gone"))
     return blocks.join(gone, "block", "left").mapInArrow(_remaining, _LEFT)
