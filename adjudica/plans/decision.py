@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from adjudica import vocabulary as V
 from adjudica.functions import temporal as T
 from adjudica.functions.canonical import any_member
-from adjudica.operators import asof, assemble, dedupe, select, validate
+from adjudica.operators import asof, assemble, dedupe, select, spells, validate
 from adjudica.operators.lookup import lookup_left
 from adjudica.operators.rules import collect_effects, evaluate_rules, first_effect
 from adjudica.rulebook import CANDIDATE_KEYS, DEFAULT_RULES, KEY_KINDS, Rule
@@ -82,6 +84,57 @@ def vehicle_days(fleet: DataFrame, history: DataFrame, probes: DataFrame) -> Dat
     return known.select("reg_canon", "day", "home_hub", "in_pool", *[c.alias(n) for n, c in vehicle_facts().items()])
 
 
+# Candidate facts that depend on the day: the history they look at, and the days after an entry that count as 0.
+_AGED = {"vehicle_days_past_service": ("last_service", V.SERVICE_INTERVAL_DAYS), "vehicle_brake_work_days": ("last_brake", 0)}
+
+
+def change_offsets(rules: Sequence[Rule]) -> dict[str, list[int]]:
+    """Per kind of history entry the days after it on which a rule's view of the vehicle may change."""
+    found = {name: {0} for name in history_predicates()}
+    found["last_temp_fix"].add(V.TEMP_FIX_WINDOW_DAYS + 1)
+    for rule in rules:
+        for key, spec in rule.when.items():
+            if key in _AGED:
+                kind, base = _AGED[key]
+                values = spec.values() if isinstance(spec, dict) else spec if isinstance(spec, list) else [spec]
+                for v in values:
+                    if isinstance(v, (int, float)) and not isinstance(v, bool):
+                        found[kind] |= {base + math.floor(v), base + math.floor(v) + 1}
+    return {kind: sorted(d for d in days if d >= 0) for kind, days in found.items()}
+
+
+def pool_spells(fleet: DataFrame, history: DataFrame, exclusions: Sequence[Rule], first: date, last: date) -> DataFrame:
+    """Runs of days from ``first`` to ``last`` over which the rules see a vehicle alike.
+
+    A vehicle's facts are derived only on days when they may change: ``first``, its history days, and fixed
+    numbers of days after them. Rows follow the history, not the calendar.
+    """
+    offsets, empty = change_offsets(exclusions), F.array().cast("array<int>")
+    after = [F.when(p, F.array(*[F.lit(d) for d in offsets[kind]])).otherwise(empty) for kind, p in history_predicates().items()]
+    entries = history.filter(F.col("reg_canon").isNotNull() & (F.col("date") <= F.lit(last)))
+    moved = entries.select("reg_canon", "date", F.explode(F.array_distinct(F.flatten(F.array(*after)))).alias("__after"))
+    changes = moved.select("reg_canon", F.greatest(F.date_add("date", F.col("__after")), F.lit(first)).alias("day")).filter(F.col("day") <= F.lit(last))
+    probes = changes.unionByName(fleet.select("reg_canon", F.lit(first).alias("day"))).distinct().withColumn("in_pool", F.lit(True))
+    states = vehicle_days(fleet.filter("home_hub is not null"), history, probes).select(
+        F.col("reg_canon").alias("cid"), "day", F.col("home_hub").alias("pool"),
+        F.coalesce(F.col("vehicle_year").cast("long"), F.lit(0)).alias("vehicle_year"), candidate_signature(exclusions).alias("cand_sig"),
+    )
+    return spells.spells(states, "cid", "day", ["pool", "cand_sig", "vehicle_year"], last)
+
+
+def pool_classes(
+    fleet: DataFrame, history: DataFrame, asked: DataFrame, rules: Sequence[Rule], keep: Keep = stage,
+    max_rejected: int = select.MAX_REJECTED, pool: str = "origin_hub",
+) -> DataFrame:
+    """The classes of each hub's vehicles on every day it had a record; see ``select.candidate_classes``."""
+    days = keep(asked.select(F.col(pool).alias("pool"), "day").filter("pool is not null and day is not null").distinct(), "hub-days")
+    span = days.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    first = span["first"] or date(1970, 1, 1)
+    last = span["last"] or first
+    runs = keep(pool_spells(fleet, history, select.exclusion_rules(rules), first, last), "spells")
+    return spells.classes_on_days(runs, days, "pool", "day", "cid", ["cand_sig", "vehicle_year"], first, last, max_rejected + 1)
+
+
 def pool_probes(fleet: DataFrame, tickets: DataFrame, pool: str = "origin_hub") -> DataFrame:
     """(reg, day) for every vehicle of a hub on every day that hub had a ticket, tickets deduplicated first."""
     hub_days = tickets.select(F.col(pool).alias("home_hub"), "day").filter("home_hub is not null and day is not null").distinct()
@@ -168,12 +221,11 @@ def candidate_signature(exclusions: Sequence[Rule]) -> Column:
 
 
 def select_candidates(
-    records: DataFrame, days: DataFrame, rules: Sequence[Rule], keep: Keep = stage,
-    max_rejected: int = select.MAX_REJECTED,
+    records: DataFrame, classes: DataFrame, rules: Sequence[Rule], max_rejected: int = select.MAX_REJECTED
 ) -> DataFrame:
     """Add the choice among the pool's vehicles to records that carry their broken vehicle's facts.
 
-    ``keep`` holds on to the classes, which are small and read twice. At most ``max_rejected`` rejected
+    ``classes`` come from ``pool_classes``, are small and are read twice. At most ``max_rejected`` rejected
     candidates are listed; all are counted.
     """
     exclusions = select.exclusion_rules(rules)
@@ -188,11 +240,6 @@ def select_candidates(
             "pool": F.col("source_hub"),
         }
     )
-    candidates = days.filter("in_pool").select(
-        F.col("home_hub").alias("pool"), "day", F.col("reg_canon").alias("cid"), "vehicle_year",
-        candidate_signature(exclusions).alias("cand_sig"),
-    )
-    classes = keep(select.candidate_classes(candidates, "pool", "day", "cid", "vehicle_year", max_rejected=max_rejected), "classes")
     answers = select.profile_answers(signed, classes, n, "pool", "day", "vehicle_year", max_rejected=max_rejected)
     return select.select_top1(
         signed, answers, n, "pool", "day", "broken_vehicle_reg", "own_sig", "own_in_pool"
@@ -231,9 +278,10 @@ def decide(
     fleet = keep(inputs.fleet, "fleet")
     admitted, invalid, orphans = admit(inputs.tickets, fleet, zone)
     facts = keep(build_facts(admitted, inputs.people), "facts")
-    days = keep(vehicle_days(fleet, inputs.history, all_probes(fleet, facts)), "vehicle-days")
+    days = vehicle_days(fleet, inputs.history, own_probes(facts))
     sourced = choose_source(classify(attach_vehicle_days(facts, days), rules), rules)
-    decided = select_candidates(sourced, days, rules, keep)
+    classes = keep(pool_classes(fleet, inputs.history, facts, rules, keep), "classes")
+    decided = select_candidates(sourced, classes, rules)
     return Decision(
         with_citations(decided, rules), dedupe.dedupe_report(inputs.tickets, ["ticket_id"], ["pos"]), invalid, orphans
     )

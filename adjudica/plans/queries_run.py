@@ -232,14 +232,9 @@ sig as (
       array_to_string(list_slice(list_sort(list(cid)), 1, 9), ',') as ids from sig group by all
 """)
 def candidates_by(spark: SparkSession, sf: str) -> DataFrame:
-    from adjudica.plans.queries_entities import run_vehicle_days
-
-    exclusions = select.exclusion_rules(BOOK)
-    candidates = decision.stage(run_vehicle_days(spark, sf), "vehicle-days").filter("in_pool").select(
-        F.col("home_hub").alias("pool"), "day", F.col("reg_canon").alias("cid"), F.col("vehicle_year").alias("year"),
-        decision.candidate_signature(exclusions).alias("cand_sig"),
-    )
-    classes = select.candidate_classes(candidates, "pool", "day", "cid", "year")
+    fleet = decision.stage(D.fleet(spark, sf), "fleet")
+    admitted, _, _ = decision.admit(D.tickets(spark, sf), fleet, decision.T.DEFAULT_ZONE)
+    classes = decision.pool_classes(fleet, D.history(spark, sf), admitted, BOOK).withColumnRenamed("vehicle_year", "year")
     return classes.select("pool", F.col("day").cast("string").alias("day"), "cand_sig", "year", "n", F.array_join("ids", ",").alias("ids"))
 
 
