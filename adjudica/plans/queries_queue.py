@@ -41,6 +41,31 @@ def export_comms_pending(spark: SparkSession, sf: str) -> DataFrame:
     return _exported(spark, sf, "comms_pending").select(*[_text(f) for f in ("message_id", "ticket_id", "recipient")])
 
 
+_APPROVED = O.with_(*O.RUN, """
+approvals as (select 'TKT-' || (event_id * 3 // 2 - event_id % 2) as ticket_id, case when event_type = 'error' then null else 'user' || user_id end as who, ts as at,
+  event_id % 2 as half from events),
+usable_approvals as (select a.ticket_id, half, strftime(at, '%Y-%m-%dT%H:%M:%S') || '.000Z' as at_text, who from approvals a join selected using (ticket_id) where who is not null),
+first_half as (select ticket_id, min(half) as half from usable_approvals group by 1),
+sent as (select ticket_id, min((at_text, who)) as a from usable_approvals join first_half using (ticket_id, half) group by 1)""")
+
+
+@query("export_comms_sent", _APPROVED + "select 'MSG-' || substr(sha256(ticket_id), 1, 32) as message_id, ticket_id, a[2] as approved_by, a[1] as sent_at from sent")
+def export_comms_sent(spark: SparkSession, sf: str) -> DataFrame:
+    """Approvals come in two calls, the second one repeated; what the first call sent stays as it was, export after export."""
+    root, out = scratch_path(spark, "queue-run"), scratch_path(spark, "exports")
+    run.run_queue(D.inputs(spark, sf), root, "b0", D.SALT)
+    asked = D.table(spark, sf, "events").selectExpr(
+        "concat('TKT-', event_id * 3 div 2 - event_id % 2) as ticket_id", "case when event_type = 'error' then ' ' else concat('user', user_id) end as approver",
+        "cast(ts as timestamp) as at", "event_id % 2 as half",
+    )
+    for label, half in (("a0", 0), ("a1", 1), ("a1", 1)):
+        run.approve(spark, root, asked.where(F.col("half") == half).drop("half"), label)
+    for _ in range(2):
+        run.export_run(spark, root, out, ["comms_sent"])
+    rows = spark.read.text(f"{out}/comms_sent").select(F.try_parse_json("value").alias("v"))
+    return rows.select(*[_text(f) for f in ("message_id", "ticket_id", "approved_by", "sent_at")])
+
+
 @query("export_quarantine", UP_TO_ADMITTED + """
     , reasons as (select ticket_id, ats, unnest(list_filter([case when ticket_id is null then 'missing_ticket_id' end,
       case when vehicle_reg is null then 'missing_vehicle' end, case when origin_hub is null then 'missing_origin_hub' end,

@@ -562,7 +562,7 @@ def publish_batch(spark: SparkSession, sf: str) -> DataFrame:
         frames = {}
         for name, prefix in (("orders", "WO"), ("messages", "MSG")):
             made = batch.select(content_id(prefix, "ticket_id").alias("id"), "ticket_id")
-            frames[name] = outbox.new_rows(made, outbox.read_state(spark, root, name, schema, label), ["ticket_id"], ["id"])
-        outbox.publish_batch(frames, root, label)
+            frames[name] = outbox.new_rows(made, outbox.state_for(made, root, name, schema, ["ticket_id"], label), ["ticket_id"], ["id"])
+        outbox.publish_batch(frames, root, label, dict.fromkeys(frames, ["ticket_id"]))
     kinds = [outbox.read_state(spark, root, n, schema).select(F.lit(n).alias("kind"), "id", "ticket_id") for n in ("orders", "messages")]
     return kinds[0].unionByName(kinds[1])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adjudica.functions import privacy as P
 from adjudica.functions import temporal as T
+from adjudica.functions.identity import content_id
 from adjudica.operators import assemble, dedupe, outbox, select, validate
 from adjudica.plans import decision
 from adjudica.rulebook import DEFAULT_RULES, Rule
@@ -25,6 +26,9 @@ TABLES = {
     "audit": (["ticket_id", "step"], ["decision"]),
 }
 
+KEYS = {name: keys for name, (keys, _) in TABLES.items()} | {"sent": ["ticket_id"], "approval_log": ["approval_id"]}
+APPROVED = "ticket_id string, approved_by string, sent_at string"
+
 # Exports: the table, a filter, the fields in order.
 EXPORTS = {
     "work_orders": ("work_orders", "true", ["work_order_id", "ticket_id", "vehicle_reg", "created_at", "citations"]),
@@ -108,30 +112,60 @@ def run_queue(
     frames = {}
     for name, df in made.items():
         keys, order = TABLES[name]
-        stored = outbox.read_state(spark, root, name, _schema(df), batch)
+        df = stage(df, name)
+        stored = outbox.state_for(df, root, name, _schema(df), keys, batch)
         frames[name] = stage(outbox.new_rows(df, stored, keys, order), name)
-    outbox.publish_batch(frames, root, batch)
+    outbox.publish_batch(frames, root, batch, KEYS)
     return outbox.run_summary(frames)
 
 
 def stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     """All published rows of a stored table."""
-    return outbox.read_state(spark, root, name, _schema(spark.read.parquet(f"{root}/{name}").drop("batch")))
+    return outbox.read_state(spark, root, name, outbox.state_schema(spark, root, name))
+
+
+def _with_sent(messages: DataFrame, sent: DataFrame) -> DataFrame:
+    """Messages as they stand after the stored approvals."""
+    done = sent.select("ticket_id", F.col("approved_by").alias("__by"), F.col("sent_at").alias("__at"))
+    joined = messages.join(done, "ticket_id", "left")
+    hit = F.col("__by").isNotNull()
+    return joined.withColumns(
+        {"status": F.when(hit, "sent").otherwise(F.col("status")), "approved_by": F.coalesce("__by", "approved_by"), "sent_at": F.coalesce("__at", "sent_at")}
+    ).drop("__by", "__at")
+
+
+def approve(spark: SparkSession, root: str, approvals: DataFrame, label: str) -> DataFrame:
+    """Store approvals (ticket_id, approver, at) of messages under ``root``; each with its ``outcome``.
+
+    A message becomes sent once, by the first valid approval that was stored; of one call's approvals the earliest
+    counts, one without a time first. Later ones, those without approver and those of unknown tickets change nothing, and all are logged.
+    Repeated rows are one approval. A call that is repeated under its label changes nothing and gives the same outcomes.
+    """
+    asked = stage(approvals.select(F.col("ticket_id").cast("string"), F.col("approver").cast("string"), T.utc_text("at").alias("at")).distinct(), "approvals")
+    messages = outbox.state_for(asked, root, "comms", outbox.state_schema(spark, root, "comms"), KEYS["comms"])
+    before = outbox.state_for(asked, root, "sent", APPROVED, KEYS["sent"], f"approvals:{label}")
+    _, outcome = outbox.apply_approvals(_with_sent(messages, before), asked)
+    log = outcome.select(content_id("APP", F.to_json(F.struct("ticket_id", "approver", "at"))).alias("approval_id"), "ticket_id", "approver", "at", "outcome")
+    log = stage(log, "approval-log")
+    sent = log.where("outcome = 'sent'").select("ticket_id", F.col("approver").alias("approved_by"), F.col("at").alias("sent_at"))
+    logged = outbox.state_for(log, root, "approval_log", _schema(log), KEYS["approval_log"], f"approvals:{label}")
+    new = outbox.new_rows(log, logged, ["approval_id"], ["outcome"])
+    outbox.publish_batch({"sent": sent, "approval_log": new}, root, f"approvals:{label}", KEYS)
+    return log
 
 
 def export_run(
-    spark: SparkSession, root: str, out: str, names: Sequence[str] = tuple(EXPORTS),
-    approvals: DataFrame | None = None, patterns: Sequence[P.Pattern] = P.DEFAULT_PATTERNS,
+    spark: SparkSession, root: str, out: str, names: Sequence[str] = tuple(EXPORTS), patterns: Sequence[P.Pattern] = P.DEFAULT_PATTERNS
 ) -> None:
     """Write the named exports as sorted JSON lines under ``out``; every line passes the personal-data gate.
 
-    ``approvals`` (ticket_id, approver, at) turn pending messages into sent ones in what is exported.
+    Messages are pending or sent as the stored approvals have it (``approve``).
     """
     for name in names:
         table, chosen, fields = EXPORTS[name]
         df = stored(spark, root, table)
-        if table == "comms" and approvals is not None:
-            df, _ = outbox.apply_approvals(df, approvals)
+        if table == "comms":
+            df = _with_sent(df, outbox.read_state(spark, root, "sent", APPROVED))
         if "raw_json" in df.columns:
             df = df.withColumn("raw", F.try_parse_json("raw_json"))
         for stamp in {"created_at", "detected_at", "at"} & set(df.columns):

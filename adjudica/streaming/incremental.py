@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adjudica.operators.outbox import new_rows, publish_batch, read_state
+from adjudica.operators.outbox import new_rows, publish_batch, read_state, state_for
 
 Job = Callable[[DataFrame], Mapping[str, DataFrame]]
 
@@ -17,16 +17,17 @@ def run_incremental(
     """Drain what has arrived through ``job`` into the state tables under ``root``.
 
     ``tables`` maps a name to (key columns, order columns, schema). A batch that is replayed after a
-    failure overwrites its own earlier files with the same rows, so nothing is lost or written twice.
+    failure finds its own rows published and adds nothing, so nothing is lost or written twice. It opens only those
+    stored rows that may share its keys.
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        spark, label = batch.sparkSession, f"b{number:09d}"
+        label = f"b{number:09d}"
         frames = {}
         for name, df in job(batch).items():
             keys, order, schema = tables[name]
-            frames[name] = new_rows(df, read_state(spark, root, name, schema, label), keys, order)
-        publish_batch(frames, root, label)
+            frames[name] = new_rows(df, state_for(df, root, name, schema, keys, label), keys, order)
+        publish_batch(frames, root, label, {name: keys for name, (keys, _, _) in tables.items()})
 
     query = (
         stream.writeStream.foreachBatch(one_batch)
