@@ -154,8 +154,12 @@ class Decision:
 
 
 def admit(tickets: DataFrame, fleet: DataFrame, zone: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """First copies of usable records, plus unusable ones and ones naming an unknown vehicle."""
-    first = validate.validate(dedupe.dedupe_first(tickets, ["ticket_id"], ["pos"]))
+    """First copies of usable records, plus unusable ones and ones naming an unknown vehicle.
+
+    A column ``is_object`` tells items that are no records at all; they are unusable for that reason alone.
+    """
+    is_object = F.col("is_object") if "is_object" in tickets.columns else None
+    first = validate.validate(dedupe.dedupe_first(tickets, ["ticket_id"], ["pos"]), is_object=is_object)
     usable = first.filter(F.size("reasons") == 0).withColumns(calendar_facts("created_at", zone))
     looked = lookup_left(
         usable, fleet, "vehicle_reg", "reg_canon", {"broken_vehicle_reg": "reg_canon", "broken_home_hub": "home_hub"}

@@ -7,7 +7,9 @@ on chance.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adjudica.functions import canonical as C
@@ -240,8 +242,11 @@ QUEUE_FIELDS = [
 ]
 
 
-def ticket_rows(raw: DataFrame, zone: str = T.DEFAULT_ZONE) -> DataFrame:
-    """Queue records in canonical form, with the raw record as text for the quarantine to mask."""
+def ticket_rows(raw: DataFrame, zone: str = T.DEFAULT_ZONE, text: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Queue records in canonical form, with the raw record as text for the quarantine to mask.
+
+    ``text`` is the record as it came, if the caller has it; ``keep`` names further columns to keep.
+    """
     return raw.select(
         C.blank_to_null(F.trim("ticket_id")).alias("ticket_id"),
         T.parse_ts("created_at", zone).alias("created_at"),
@@ -256,7 +261,8 @@ def ticket_rows(raw: DataFrame, zone: str = T.DEFAULT_ZONE) -> DataFrame:
         C.blank_to_null(F.upper(F.trim("status"))).alias("status"),
         C.blank_to_null("resolution_note").alias("resolution_note"),
         "pos",
-        row_text(QUEUE_FIELDS).alias("raw_json"),
+        (row_text(QUEUE_FIELDS) if text is None else text).alias("raw_json"),
+        *keep,
     )
 
 

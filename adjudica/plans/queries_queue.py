@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adjudica.plans import domain as D
 from adjudica.plans import oracle as O
 from adjudica.plans import run
+from adjudica.plans.queries_sources import RENAMED
 from adjudica.plans.registry import query
 from adjudica.session import scratch_path
 
@@ -42,9 +43,9 @@ def export_comms_pending(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _APPROVED = O.with_(*O.RUN, """
-approvals as (select 'TKT-' || (event_id * 3 // 2 - event_id % 2) as ticket_id, case when event_type = 'error' then null else 'user' || user_id end as who, ts as at,
+approvals as (select 'TKT-' || (event_id * 3 // 2 - event_id % 2) as ticket_id, case when event_type = 'error' then null else 'user' || user_id end as who, ts as at_ts,
   event_id % 2 as half from events),
-usable_approvals as (select a.ticket_id, half, strftime(at, '%Y-%m-%dT%H:%M:%S') || '.000Z' as at_text, who from approvals a join selected using (ticket_id) where who is not null),
+usable_approvals as (select a.ticket_id, half, strftime(at_ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' as at_text, who from approvals a join selected using (ticket_id) where who is not null),
 first_half as (select ticket_id, min(half) as half from usable_approvals group by 1),
 sent as (select ticket_id, min((at_text, who)) as a from usable_approvals join first_half using (ticket_id, half) group by 1)""")
 
@@ -93,3 +94,46 @@ def export_audit(spark: SparkSession, sf: str) -> DataFrame:
     rows = _exported(spark, sf, "audit").select(_text("ticket_id"), _text("step"), _text("decision"))
     key = F.regexp_replace("ticket_id", "^(MALFORMED):Q-[0-9a-f]{32}$", "$1").alias("ticket_id")
     return rows.where(F.col("step").isin(always)).select(key, "step", F.when(F.col("step") == "dedupe", F.col("decision")).alias("decision"))
+
+
+def _queue_files(spark: SparkSession, sf: str) -> str:
+    """The whole queue as twenty files: arrays with a bare number each, wrapped arrays, and lines; copies of a record follow it."""
+    path = scratch_path(spark, "queue-files")
+    record = F.to_json(F.struct(*[F.col(k).alias(v) for k, v in RENAMED.items()]), {"ignoreNullFields": "false"})
+    one = D.raw_tickets(spark, sf).select((F.expr("pos div 2") % 20).alias("k"), F.struct("pos", record.alias("r")).alias("r"))
+    listed = one.groupBy("k").agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["r"]).alias("r"))
+    joined, kind = F.array_join("r", ", "), F.col("k") % 3
+    text = (
+        F.when(kind == 0, F.concat(F.lit("["), joined, F.lit(", "), F.col("k").cast("string"), F.lit("]")))
+        .when(kind == 1, F.concat(F.lit('{"rows": ['), joined, F.lit("]}")))
+        .otherwise(F.array_join("r", "\n"))
+    )
+    listed.select("k", text.alias("value")).write.partitionBy("k").text(path)
+    return f"{path}/*/*.txt"
+
+
+@query("run_files", O.with_(*O.RUN, """
+    reasons as (select ticket_id, unnest(list_filter([case when ticket_id is null then 'missing_ticket_id' end,
+      case when vehicle_reg is null then 'missing_vehicle' end, case when origin_hub is null then 'missing_origin_hub' end,
+      case when ats is null then 'unparseable_created_at' end], lambda x: x is not null)) as reason from first_t
+    union all select ticket_id, 'vehicle_not_in_fleet' from usable where vehicle_reg not in (select reg_canon from fleet)
+    union all select null, 'record_not_an_object' from (select distinct pos // 2 % 20 as f from tickets) where f % 3 = 0)""") + """
+    select 'work_orders' as kind, ticket_id as key, origin_hub as detail from selected
+    union all select 'comms', ticket_id, client from selected
+    union all select 'quarantine', coalesce(ticket_id, 'MALFORMED'), reason from reasons
+    union all select 'replayed', '', cast(count(*) as varchar) from selected
+""")
+def run_files(spark: SparkSession, sf: str) -> DataFrame:
+    """From files of every shape to stored tables; the second run of the same files adds nothing and says so."""
+    root, path = scratch_path(spark, "queue-run"), _queue_files(spark, sf)
+    given = D.inputs(spark, sf)
+    for label in ("b0", "b1"):
+        summary = run.run_files(spark, path, given.fleet, given.history, given.people, root, label, D.SALT)
+    orders, messages, held = (run.stored(spark, root, n) for n in ("work_orders", "comms", "quarantine"))
+    rows = [
+        orders.select(F.lit("work_orders").alias("kind"), F.col("ticket_id").alias("key"), F.col("origin_hub").alias("detail")),
+        messages.select(F.lit("comms"), "ticket_id", "recipient"),
+        held.select(F.lit("quarantine"), F.regexp_replace("ticket_key", "^(MALFORMED):Q-[0-9a-f]{32}$", "$1"), "reason"),
+        summary.where("outcome = 'replayed'").select("outcome", F.lit(""), F.col("n").cast("string")),
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3])

@@ -111,14 +111,18 @@ def load_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("scan_documents", "select n_nationkey, n_name from nation")
+@query("scan_documents", "select doc_id // 10 as k, count(*) as n_lines, cast(sum(length(coalesce(text, ''))) as bigint) as n_chars from documents group by 1")
 def scan_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One text file per nation, so the number of files is the number of rows."""
+    """One text file for ten documents: its number, then a line for each document with its line breaks as blanks."""
     path = scratch_path(spark, "texts")
-    D.table(spark, sf, "nation").selectExpr("n_nationkey as k", "concat(n_nationkey, '\\n', n_name) as value").write.partitionBy("k").text(path)
-    docs = files.scan_documents(spark, f"{path}/*/*.txt")
+    one = D.table(spark, sf, "documents").select(F.expr("doc_id div 10").alias("k"), F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ").alias("t"))
+    whole = one.groupBy("k").agg(F.concat_ws("\n", F.col("k").cast("string"), F.collect_list("t")).alias("value"))
+    whole.repartition("k").write.partitionBy("k").text(path)
     line = F.split("text", "\n")
-    return docs.select(line[0].cast("int").alias("n_nationkey"), line[1].alias("n_name"))
+    docs = files.scan_documents(spark, f"{path}/*/*.txt").withColumn("lines", F.slice(line, 2, F.size(line)))
+    # The writer ends a text with a line break, after which nothing follows.
+    size = F.aggregate(F.transform("lines", F.length), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return docs.select(line[0].cast("long").alias("k"), (F.size("lines") - 1).cast("long").alias("n_lines"), size.alias("n_chars"))
 
 
 RENAMED = {
@@ -146,37 +150,65 @@ def _line_queue(spark: SparkSession, sf: str) -> str:
     return path
 
 
+_FILES = 20
+
+
 def _document_queue(spark: SparkSession, sf: str) -> str:
-    """One JSON document per nation, in every document shape, plus an empty and a broken file."""
+    """The whole queue in files of every shape: arrays, wrapped arrays, lines, single objects, cut arrays, an empty file.
+
+    Planted are records that repeat a key, in every array and line file, and a bare number in every array.
+    """
     path = scratch_path(spark, "docs")
-    n = D.table(spark, sf, "nation").selectExpr(
-        "n_nationkey as k", """case n_nationkey % 5
-            when 0 then concat('[{"id": "', n_name, '", "truck": "a", "km": 3}, 7]')
-            when 1 then concat('{"rows": [{"id": "', n_name, '", "truck": "b"}]}')
-            when 2 then concat('{"id": "', n_name, '",\n "truck": "c"}')
-            when 3 then concat('{"id": "', n_name, '"')
-            else ' ' end as value""")
-    n.write.partitionBy("k").text(path)
+    record = F.to_json(F.struct(*[F.col(k).alias(v) for k, v in RENAMED.items()]), {"ignoreNullFields": "false"})
+    lines = D.raw_tickets(spark, sf).select((F.col("pos") % _FILES).alias("k"), record.alias("r"))
+    odd = '{"Ticket No": "first", "Ticket No": "last", "truck": "t"}'
+    files_ = lines.groupBy("k").agg(F.collect_list("r").alias("r"))
+    listed, k = F.array_join("r", ", "), F.col("k") % 5
+    text = (
+        F.when(k == 0, F.concat(F.lit(f"[{odd}, 7, "), listed, F.lit("]")))
+        .when(k == 1, F.concat(F.lit('{"rows": ['), listed, F.lit(f", {odd}]}}")))
+        .when(k == 2, F.concat(F.array_join("r", "\n"), F.lit(f"\n{odd}")))
+        .when(k == 3, F.concat(F.lit("["), listed))
+        .otherwise(F.col("r")[0])
+    )
+    void = spark.range(1).select(F.lit(_FILES).cast("long").alias("k"), F.lit(" ").alias("value"))
+    files_.select("k", text.alias("value")).unionByName(void).write.partitionBy("k").text(path)
     return path
 
 
-@query("scan_queue_documents", """
-    select case n_nationkey % 5 when 0 then 'json_array' when 1 then 'json_object.rows' when 2 then 'json_single_object' when 3 then 'unrecognised' else 'empty' end as shape,
-      cast(sum(case when n_nationkey % 5 = 0 then 2 else 1 end) as bigint) as n, count_if(n_nationkey % 5 < 3) as n_objects from nation group by 1
-""")
+_SHAPES = O.with_(O.TICKETS, f"""
+    files as (select pos % {_FILES} % 5 as kind, count(*) as n, count(distinct pos % {_FILES}) as f from tickets group by 1),
+    shapes as (
+      select case kind when 0 then 'json_array' when 1 then 'json_object.rows' when 2 then 'ndjson' when 3 then 'unrecognised' else 'json_single_object' end as shape,
+        case kind when 0 then n + 2 * f when 1 then n + f when 2 then n + f else f end as n, case kind when 0 then n + f when 1 then n + f when 2 then n + f when 3 then 0 else f end as n_objects from files
+      union all select 'empty', 1, 0)""")
+
+
+@query("scan_queue_documents", _SHAPES + " select shape, n, n_objects from shapes")
 def scan_queue_documents(spark: SparkSession, sf: str) -> DataFrame:
     records = queue.scan_queue(spark, f"{_document_queue(spark, sf)}/*/*.txt")
     return records.groupBy("shape").agg(F.count(F.lit(1)).alias("n"), F.count("record").alias("n_objects"))
 
 
-@query("split_unusable", "select 'usable' as kind, count_if(n_nationkey % 5 < 3) as n from nation union all select 'unusable', count_if(n_nationkey % 5 = 0) + count_if(n_nationkey % 5 > 2) from nation")
+@query("scan_queue_records", O.with_(O.TICKETS) + f"""
+    select ticket_id, count(*) as n from (select ticket_id from tickets where pos % {_FILES} % 5 < 3
+      union all select 'LAST' from (select distinct pos % {_FILES} as k from tickets) where k % 5 < 3) group by 1
+""")
+def scan_queue_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record of the arrays, wrapped arrays and line files, by its id; of a repeated key the last value counts."""
+    usable, _ = queue.split_unusable(queue.scan_queue(spark, f"{_document_queue(spark, sf)}/*/*.txt"))
+    listed = usable.filter("shape <> 'json_single_object'").select(F.upper(F.trim(F.try_variant_get("record", "$['Ticket No']", "string"))).alias("ticket_id"))
+    return listed.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("split_unusable", _SHAPES + " select 'usable' as kind, cast(sum(n_objects) as bigint) as n from shapes union all select 'unusable', cast(sum(n - n_objects) as bigint) from shapes")
 def split_unusable(spark: SparkSession, sf: str) -> DataFrame:
     good, bad = queue.split_unusable(queue.scan_queue(spark, f"{_document_queue(spark, sf)}/*/*.txt"))
     count = F.count(F.lit(1)).alias("n")
     return good.agg(count).select(F.lit("usable").alias("kind"), "n").unionByName(bad.agg(count).select(F.lit("unusable").alias("kind"), "n"))
 
 
-@query("gate_fatal", "select count(*) as n_bad from nation where n_nationkey % 5 > 2")
+@query("gate_fatal", _SHAPES + " select cast(sum(n) as bigint) as n_bad from shapes where shape in ('empty', 'unrecognised')")
 def gate_fatal(spark: SparkSession, sf: str) -> DataFrame:
     records = queue.scan_queue(spark, f"{_document_queue(spark, sf)}/*/*.txt")
     try:

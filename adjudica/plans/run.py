@@ -11,9 +11,10 @@ from adjudica.functions import privacy as P
 from adjudica.functions import temporal as T
 from adjudica.functions.identity import content_id
 from adjudica.operators import assemble, dedupe, outbox, select, validate
-from adjudica.plans import decision
+from adjudica.plans import decision, domain
 from adjudica.rulebook import DEFAULT_RULES, Rule
 from adjudica.session import stage
+from adjudica.sources import queue
 from adjudica.sources.context import sink_jsonl_sorted
 
 LEAK = "unexpected_error: personal data in the message"
@@ -87,36 +88,72 @@ def audited(done: decision.Decision, rules: Sequence[Rule], source_file: str) ->
     )
 
 
-def run_queue(
-    inputs: decision.Inputs, root: str, batch: str, salt: str, source_file: str = "queue",
-    rules: Sequence[Rule] = tuple(DEFAULT_RULES),
-) -> DataFrame:
-    """Run one queue and add what is new to the tables under ``root``; one row per table with the rows added.
+def made_by(inputs: decision.Inputs, salt: str, source_file: str = "queue", rules: Sequence[Rule] = tuple(DEFAULT_RULES)) -> dict[str, DataFrame]:
+    """What a run of the queue makes: orders, messages, quarantine rows and audit rows, whatever is stored already.
 
     A record whose message would carry personal data gets no order and no message but a quarantine row; the
-    others are not held up by it. A queue that runs again adds nothing. All tables of a batch become visible together. Keys compare with
-    those stored before, so two queues may share records.
+    others are not held up by it.
     """
-    spark = inputs.tickets.sparkSession
     done = decision.decide(inputs, rules)
     done = decision.Decision(stage(done.decided, "decided"), done.duplicates, done.invalid, done.orphans)
     exclusions = select.exclusion_rules(rules)
     failed = stage(leaking(assemble.draft_messages(done.decided, exclusions)), "leaking")
     done = decision.Decision(done.decided.join(failed, "ticket_id", "left_anti"), done.duplicates, done.invalid, done.orphans)
-    made = {
+    held = failed.select("ticket_id", F.lit("error").alias("step"), F.lit(f"quarantined: {LEAK}").alias("decision"))
+    lines = audited(done, rules, source_file)
+    return {
         "work_orders": assemble.build_orders(done.decided),
         "comms": assemble.draft_messages(done.decided, exclusions),
         "quarantine": quarantined(done, salt, source_file).unionByName(_isolated(inputs.tickets, failed, salt, source_file)),
-        "audit": audited(done, rules, source_file),
+        "audit": lines.unionByName(held.withColumns({"data_used": F.lit("comms"), "rule_id": F.lit("ISOLATE-RECORD"), "actor": F.lit("pipeline")}), allowMissingColumns=True),
     }
-    frames = {}
-    for name, df in made.items():
+
+
+def run_queue(
+    inputs: decision.Inputs, root: str, batch: str, salt: str, source_file: str = "queue",
+    rules: Sequence[Rule] = tuple(DEFAULT_RULES),
+) -> DataFrame:
+    """Run one queue and add what is new to the tables under ``root``; one row per table with the rows added.
+
+    A queue that runs again adds nothing; ``replayed`` counts its orders that were stored before. All tables
+    of a batch become visible together. Keys compare with those stored before, so two queues may share records.
+    """
+    frames, again = {}, None
+    for name, df in made_by(inputs, salt, source_file, rules).items():
         keys, order = TABLES[name]
         df = stage(df, name)
         stored = outbox.state_for(df, root, name, _schema(df), keys, batch)
         frames[name] = stage(outbox.new_rows(df, stored, keys, order), name)
+        if name == "work_orders":
+            again = df.join(frames[name], keys, "left_anti")
     outbox.publish_batch(frames, root, batch, KEYS)
-    return outbox.run_summary(frames)
+    return outbox.run_summary({**frames, "replayed": again})
+
+
+def read_queue(spark: SparkSession, path: str, zone: str = T.DEFAULT_ZONE, keep_good: bool = False) -> DataFrame:
+    """The queue files at ``path`` in canonical form, in the order of files and records.
+
+    Files that can't be read, or a queue with too few known fields, stop the run. Items that are no objects
+    stay as rows with ``is_object`` false, for the quarantine.
+    """
+    found = queue.scan_queue(spark, path, keep_good)
+    found = found.select(F.struct("source_file", "pos").alias("pos"), "source_file", "shape", F.col("record").isNotNull().alias("is_object"), "raw", queue.flatten_once("record").alias("fields"))
+    found = found.withColumn("fields", F.transform_values("fields", lambda k, v: F.try_variant_get(v, "$", "string")))
+    found = stage(found, "queue")
+    queue.gate_fatal(found)
+    queue.gate_recognised(queue.matched_fields(found.where("is_object"), "fields"))
+    # An array without elements has no items to judge.
+    rows = queue.adapt_columns(found.where("is_object or raw is not null"), "fields")
+    return domain.ticket_rows(rows, zone, F.col("raw"), ["is_object"])
+
+
+def run_files(
+    spark: SparkSession, path: str, fleet: DataFrame, history: DataFrame, people: DataFrame, root: str, batch: str, salt: str,
+    rules: Sequence[Rule] = tuple(DEFAULT_RULES), zone: str = T.DEFAULT_ZONE, keep_good: bool = False,
+) -> DataFrame:
+    """Run the queue in files of any shape against canonical context tables; see ``read_queue`` and ``run_queue``."""
+    tickets = stage(read_queue(spark, path, zone, keep_good), "tickets")
+    return run_queue(decision.Inputs(tickets, fleet, history, people), root, batch, salt, path.rsplit("/", 1)[-1], rules)
 
 
 def stored(spark: SparkSession, root: str, name: str) -> DataFrame:

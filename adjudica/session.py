@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A JSON record that repeats a key is read, with its last value, instead of refused.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

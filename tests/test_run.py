@@ -1,5 +1,7 @@
 """The queue run: failing records are set apart, versions follow publication, dates keep their time."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from adjudica.functions import temporal as T
@@ -32,7 +34,17 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("segment,customer\nS1,C1\n")
     (tmp_path / "b.csv").write_text(" Customer ,extra,SEGMENT\nC2,e,\"S,2\"\n")
     df = files.scan_csv(spark, str(tmp_path), ["customer", "segment", "extra"])
-    assert df.columns == ["customer", "segment"] and {tuple(r) for r in df.collect()} == {("C1", "S1"), ("C2", "S,2")}
+    # A column that only some files have is kept, null elsewhere, and refused where it is required.
+    assert df.columns == ["customer", "segment", "extra"] and {tuple(r) for r in df.collect()} == {("C1", "S1", None), ("C2", "S,2", "e")}
+    assert files.require_columns(df, ["customer", "segment"], "roster") is df
+    with pytest.raises(files.GateError, match="extra"):
+        files.require_columns(df, ["customer", "extra"], "roster")
+
+
+def test_csv_headers_may_hold_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,"na\nme",x\n1,"l\n2",3\n4,\n')
+    df = files.scan_csv(spark, str(tmp_path), ["id", "x", "na\nme"], multiline=True)
+    assert {tuple(r) for r in df.collect()} == {("1", "3", "l\n2"), ("4", "", "")}
 
 
 def test_late_events_are_not_lost(spark, tmp_path):
@@ -49,3 +61,26 @@ def test_one_array_may_hold_a_whole_queue(spark, tmp_path):
     (tmp_path / "r.txt").write_text('{"rows": [{"id": 1}, {"id": 2}]} trailing')
     got = queue.scan_queue(spark, f"{tmp_path}/*.txt").groupBy("shape").agg(F.count(F.lit(1)), F.count("record")).collect()
     assert {tuple(r) for r in got} == {("json_array", 3001, 3000), ("unrecognised", 1, 0)}
+
+
+def test_one_odd_record_keeps_the_others(spark, tmp_path):
+    good = [f'{{"id": "t{k}", "n": {{"truck": {k}}}}}' for k in range(50)]
+    twice = '{"id": "first", "id": "last"}'
+    (tmp_path / "a.txt").write_text("\n".join([*good, twice]))
+    (tmp_path / "b.txt").write_text("[" + ",".join([*good, twice]) + "]")
+    (tmp_path / "c.txt").write_text('{"rows": [' + ",".join([*good, twice]) + "]}")
+    (tmp_path / "d.txt").write_text("\n".join([*good, "{broken"]))
+    got = queue.scan_queue(spark, f"{tmp_path}/*.txt")
+    ids = got.where(F.try_variant_get("record", "$.id", "string") == "last")
+    assert {tuple(r) for r in got.groupBy("shape").agg(F.count(F.lit(1)), F.count("record")).collect()} == {
+        ("ndjson", 51, 51), ("json_array", 51, 51), ("json_object.rows", 51, 51), ("unrecognised", 1, 0)
+    }
+    assert ids.count() == 3
+    kept = queue.scan_queue(spark, f"{tmp_path}/d.txt", keep_good=True).collect()
+    assert len(kept) == 51 and [r["raw"] for r in kept if r["record"] is None] == ["{broken"]
+
+
+def test_names_that_differ_in_case_only(spark):
+    names = F.expr("map('Ticket_ID', 'a', 'ticket id', 'b', 'ID', 'c', 'id', 'd')")
+    df = spark.range(1).select(names.alias("fields")).unionByName(spark.range(1).select(F.expr("map('ID', 'c', 'id', 'd')").alias("fields")))
+    assert {r["ticket_id"] for r in queue.adapt_columns(df, "fields").collect()} == {"a", "c"}
