@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from adjudica import vocabulary as V
 from adjudica.functions import canonical as C
 from adjudica.functions import text as X
+from adjudica.operators import search_index
 from adjudica.operators.lookup import topk_per_key
 from adjudica.rulebook import Rule, ordered
-from adjudica.session import stage
+from adjudica.session import scratch_path, stage
 
 MAX_TERMS = 6
 HITS_PER_TERM = 40
 MAX_DOCUMENTS = 4
 MIN_TERM = 3
-KEY_LENGTH = 12
 MAX_RULES = 6
 MAX_HUB_VEHICLES = 12
 MAX_HISTORY_LINES = 8
@@ -120,29 +120,6 @@ def _hint(party: Column, hints: Mapping[str, Sequence[str]], none: Column) -> Co
     return out
 
 
-def term_hits(terms: DataFrame, docs: DataFrame, doc_id: str, text: str, limit: int = HITS_PER_TERM) -> DataFrame:
-    """(term, doc_id, rank): the first documents, by id, whose text contains the term in any case.
-
-    Terms hold no separators, so a document contains a term exactly if one of its words does. Of each
-    word only the first ``limit`` documents can matter, so a word of every document costs no more than
-    a rare one. Terms then meet the vocabulary, which grows far slower than the corpus, by equality: a
-    term's first letters against the pieces of each word of up to as many letters.
-    """
-    long_enough = F.filter(F.split(F.lower(F.col(text)), X.WORD_BREAK), lambda w: F.length(w) >= MIN_TERM)
-    postings = docs.select(doc_id, F.explode(X.distinct_sorted(long_enough)).alias("word"))
-    heads = stage(topk_per_key(postings, ["word"], [F.col(doc_id)], limit), "postings")
-    # (start, length) of every piece, as rows: the second explode only sees the vocabulary.
-    starts = heads.filter("rank = 1").select("word", F.explode(F.sequence(F.lit(1), F.length("word") - (MIN_TERM - 1))).alias("i"))
-    ends = F.least(F.lit(KEY_LENGTH), F.length("word") - F.col("i") + 1)
-    by_piece = starts.select("word", "i", F.explode(F.sequence(F.lit(MIN_TERM), ends)).alias("n")).select(
-        "word", F.substring("word", F.col("i"), F.col("n")).alias("piece")
-    )
-    wanted = terms.select("term").distinct().withColumn("piece", F.substring("term", 1, KEY_LENGTH))
-    matched = by_piece.join(wanted, "piece").filter(F.contains(F.col("word"), F.col("term"))).select("word", "term").distinct()
-    found = heads.join(matched, "word").select("term", doc_id).distinct()
-    return topk_per_key(found, ["term"], [F.col(doc_id)], limit)
-
-
 def search_terms(parsed: DataFrame, limit: int = MAX_TERMS) -> DataFrame:
     """(question_id, pos, term): a question's party names, then its keywords; the first six."""
     parties = F.transform("parties", lambda p: F.split_part(p, F.lit("_"), F.lit(1)))
@@ -152,24 +129,32 @@ def search_terms(parsed: DataFrame, limit: int = MAX_TERMS) -> DataFrame:
 
 
 def search_documents(
-    parsed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_DOCUMENTS
+    parsed: DataFrame, docs: DataFrame, doc_id: str = "doc_id", texts: Sequence[str] = ("text",), limit: int = MAX_DOCUMENTS, index: str | None = None
 ) -> DataFrame:
-    """(question_id, pos, doc_id): by term order, then by id, each document once, the first four."""
-    terms = search_terms(parsed)
-    hits = terms.join(term_hits(terms, docs, doc_id, text), "term").withColumn("at", F.struct("pos", "rank"))
+    """(question_id, pos, doc_id): by term order, then by id, each document once, the first four.
+
+    ``index`` is the folder of a stored index of ``docs`` (see ``search_index``); without one it is built for this call.
+    """
+    if index is None:
+        index = scratch_path(docs.sparkSession, "search-index")
+        search_index.index_documents(docs, index, "all", doc_id, texts, HITS_PER_TERM)
+    terms = stage(search_terms(parsed), "terms")
+    found = search_index.term_documents(terms, index, docs.schema[doc_id].dataType.simpleString(), HITS_PER_TERM)
+    hits = terms.join(found.withColumnRenamed("doc", doc_id), "term").withColumn("at", F.struct("pos", "rank"))
     firsts = hits.groupBy("question_id", doc_id).agg(F.min("at").alias("at"))
     return topk_per_key(firsts, ["question_id"], [F.col("at")], limit, "pos").select("question_id", "pos", doc_id)
 
 
 @dataclass(frozen=True)
 class Store:
-    """What answers may be drawn from. Documents must already be masked."""
+    """What answers may be drawn from. Documents must already be masked; ``index`` is the folder of their index, if stored."""
 
     fleet: DataFrame
     people: DataFrame
     history: DataFrame
     conflicts: DataFrame
     documents: DataFrame
+    index: str | None = None
 
 
 def _line(section: int, pos: Column, line: Column, source: Column) -> list[Column]:
@@ -242,7 +227,7 @@ def evidence(parsed: DataFrame, store: Store, rules: Sequence[Rule]) -> DataFram
     wants_docs = parsed.filter(F.size("parties") > 0).unionByName(
         parsed.filter(F.size("parties") == 0).join(found, "question_id", "left_anti")
     )
-    docs = search_documents(stage(wants_docs, "wants-documents"), store.documents)
+    docs = search_documents(stage(wants_docs, "wants-documents"), store.documents, index=store.index)
     doc_lines = (
         docs.join(store.documents, "doc_id")
         .join(parsed.select("question_id", "keywords"), "question_id")

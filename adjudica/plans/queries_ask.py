@@ -11,13 +11,13 @@ from adjudica import rulebook as R
 from adjudica import vocabulary as V
 from adjudica.functions import privacy as P
 from adjudica.functions import text as X
-from adjudica.operators import retrieve
+from adjudica.operators import retrieve, search_index
 from adjudica.plans import domain as D
 from adjudica.plans import oracle as O
 from adjudica.plans.queries_entities import fleet_conflicts
 from adjudica.plans.queries_text import CORPUS_PATTERNS, EMAIL_RE, IP_RE, sql_mask
 from adjudica.plans.registry import query
-from adjudica.session import spread, stage
+from adjudica.session import scratch_path, spread, stage
 
 _HUB_WORDS = ["ambala", "chandigarh", "delhi", "gurugram", "jaipur", "kanpur", "lucknow", "ludhiana", "rudrapur"]
 _PARTY_WORDS = {"AUTOMOBILE": "Shakti", "BUILDING": "Orion", "FURNITURE": "vertex", "MACHINERY": "APEX", "HOUSEHOLD": "internal"}
@@ -174,7 +174,11 @@ doc_hits as (
 @query("search_documents", O.with_(_QUESTIONS, _PARSED, _DOC_HITS) + "select question_id, pos, doc_id from doc_hits")
 def search_documents(spark: SparkSession, sf: str) -> DataFrame:
     parsed = stage(retrieve.parse_questions(questions(spark, sf)), "parsed")
-    hits = retrieve.search_documents(parsed, D.documents(spark, sf))
+    docs, root = stage(D.documents(spark, sf).select("doc_id", "text"), "documents"), scratch_path(spark, "search-index")
+    # Two batches of ids that alternate.
+    for label, half in (("odd", F.col("doc_id") % 2 == 1), ("even", F.col("doc_id") % 2 == 0)):
+        search_index.index_documents(docs.where(half), root, label)
+    hits = retrieve.search_documents(parsed, docs, index=root)
     return hits.select("question_id", F.col("pos").cast("long").alias("pos"), "doc_id")
 
 

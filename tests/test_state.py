@@ -86,3 +86,23 @@ def test_blocks_cover_each_day_once(spark):
     for r in df.collect():
         days = [d for x in r["blocks"] for d in range(x["block"] << x["level"], (x["block"] + 1) << x["level"])]
         assert sorted(days) == list(range(r["a"], r["b"])) and len(r["blocks"]) <= 10
+
+
+def test_search_index_equals_contains(spark, tmp_path):
+    from adjudica.operators import search_index
+
+    root, pick = str(tmp_path / "index"), random.Random(9)
+    word = lambda: "".join(pick.choice("abcdé") for _ in range(pick.randrange(1, 8)))
+    docs = [(k, f"Path/{word()}.txt", ", ".join(word().upper() for _ in range(30)) + ("  " if k % 3 else " everywhere")) for k in range(120)] + [(120, None, None), (121, "", "ab")]
+    df = spark.createDataFrame(docs, "doc_id int, path string, text string")
+    for k in range(3):
+        search_index.index_documents(df.where(F.col("doc_id") % 3 == k), root, f"b{k}", texts=("path", "text"), limit=5)
+    search_index.index_documents(df.where("doc_id % 3 = 1"), root, "b1", texts=("path", "text"), limit=5)
+    terms = {word() for _ in range(150)} | {"everywhere", "path/", "txt", "absent"}
+    terms = sorted(t for t in terms if len(t) >= 3)
+    got = search_index.term_documents(spark.createDataFrame([(t,) for t in terms], "term string"), root, "int", limit=5)
+    want = set()
+    for t in terms:
+        hits = sorted(i for i, p, x in docs if t in f"{p or ''} {x or ''}".lower())[:5]
+        want |= {(t, i, r + 1) for r, i in enumerate(hits)}
+    assert {(r["term"], r["doc"], r["rank"]) for r in got.collect()} == want
