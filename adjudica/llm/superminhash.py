@@ -138,15 +138,33 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, sets in _groups(batch):
             offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
             values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            sums, sizes = _sums(sets), pa.array([len(s) for s in sets], pa.int64())
             shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), sizes, pa.array(sums[:, 0]), pa.array(sums[:, 1]), shingles], names=["doc_id", "n", "f1", "f2", "shingles"])
+            columns = [batch.column(k).slice(at, len(sets)) for k in (0, 2, 3, 4)]
+            yield pa.RecordBatch.from_arrays([*columns, shingles], names=["node", "best", "heads", "leads", "shingles"])
+
+
+def _alike(similarity: int, size: Column, lost: Column, gained: Column) -> Column:
+    """Whether a set that lost and gained so many of ``size`` shingles is alike enough."""
+    return 100 * (size - lost) >= similarity * (size + gained)
+
+
+def _differences(pairs: DataFrame, tops: DataFrame, changes: bool) -> DataFrame:
+    """Per pair (``head``, ``node``, ``shingles`` of the node) the size of the head's set and how many shingles the node lost
+    and gained; with ``changes`` also which these are."""
+    both = pairs.join(tops.hint("merge"), "head")
+    if not changes:
+        common = F.size(F.array_intersect("top", "shingles")).cast("bigint")
+        return both.select("head", "node", F.size("top").cast("bigint").alias("size"), (F.size("top") - common).alias("lost"), (F.size("shingles") - common).alias("gained"))
+    both = both.select("head", "node", F.size("top").cast("bigint").alias("size"), F.array_except("top", "shingles").alias("out"), F.array_except("shingles", "top").alias("new"))
+    return both.select("head", "node", "size", F.size("out").cast("bigint").alias("lost"), F.size("new").cast("bigint").alias("gained"), F.concat("out", "new").alias("changes"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets are alike enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    few = stage(sets.select("node", "shingles").join(named, "node", "left_semi"), "minhash-few")
+    left = few.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = few.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(left, "a").join(right, "b").where(100 * both >= similarity * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
@@ -160,15 +178,6 @@ def _mixed(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.join(several.select("head"), "head", "left_semi")
 
 
-def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per pair the size of the head's set, how many shingles the node lost and gained, and which these are."""
-    left = sets.select(F.col("node").alias("head"), F.col("shingles").alias("sa"))
-    right = sets.select("node", F.col("shingles").alias("sb"))
-    both = pairs.select("head", "node").join(left, "head").join(right, "node")
-    both = both.select("head", "node", F.size("sa").cast("bigint").alias("size"), F.array_except("sa", "sb").alias("out"), F.array_except("sb", "sa").alias("new"))
-    return both.select("head", "node", "size", F.size("out").cast("bigint").alias("lost"), F.size("new").cast("bigint").alias("gained"), F.concat("out", "new").alias("changes"))
-
-
 def _candidates(apart: DataFrame, groups: DataFrame, similarity: int) -> DataFrame:
     """Pairs (``a``, ``b``) of different groups under one head that may be alike enough; none that is gets lost.
 
@@ -196,11 +205,6 @@ def _candidates(apart: DataFrame, groups: DataFrame, similarity: int) -> DataFra
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _class(id_column: str) -> Column:
-    """Name of a class: its smallest id and a hash of its set, as a repeated id may be the smallest of several."""
-    return F.struct(F.col(id_column).alias("id"), F.xxhash64("n", "f1", "f2").alias("tie"))
-
-
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: the id column, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -215,47 +219,60 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def decisions(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """The rows of ``near_duplicates`` with ``doc_id``, ``body`` (xxhash64 of the text) and ``tie`` (of the set of shingles, null without)."""
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"), F.xxhash64(docs[text_column]).alias("body"))
-    sketch = stage(rows.mapInArrow(_sketch, "doc_id bigint, body bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>"), "minhash-sketch")
+    sketch = rows.mapInArrow(_sketch, "doc_id bigint, body bigint, n bigint, f1 bigint, f2 bigint, bands array<bigint>")
+    # A class is named by the number of one of its rows, which is unique and short.
+    sketch = stage(sketch.withColumn("row", F.monotonically_increasing_id()), "minhash-sketch")
     wordy = sketch.where("n > 0 and doc_id is not null")
-    classes = wordy.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"))
-    classes = stage(classes.select("n", "f1", "f2", _class("id").alias("node")), "minhash-classes")
-    nodes = wordy.join(classes, ["n", "f1", "f2"]).where("doc_id = node.id").select("node", "n", "bands").dropDuplicates(["node"])
+    classes = stage(wordy.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), F.min_by("row", "doc_id").alias("node")), "minhash-classes")
+    nodes = sketch.select(F.col("row").alias("node"), "n", "bands").join(classes.select("node"), "node", "left_semi")
     places = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    crowded = stage(places.join(sizes, "bucket"), "minhash-buckets")
+    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    # Two sets alone in a bucket must be of like sizes to be alike.
+    sizes = sizes.where((F.col("size") > 2) | ((F.col("size") == 2) & (100 * F.col("lo") >= similarity * F.col("hi")))).select("bucket", "size")
+    crowded = stage(places.select("node", "bucket").join(sizes, "bucket"), "minhash-buckets")
     # The head of a bucket is its most central class: the one that meets most others over all its buckets.
     degrees = crowded.groupBy("node").agg(F.sum("size").alias("degree"))
-    heads = crowded.join(degrees, "node").groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("degree"), "node")).alias("top"))
-    heads = heads.select("bucket", F.col("top.node").alias("head"))
+    heads = crowded.join(degrees, "node").groupBy("bucket").agg(F.max_by("node", "degree").alias("head"))
     shared = crowded.join(heads, "bucket").where("node <> head").groupBy("head", "node").count()
     shared = stage(shared, "minhash-heads")
 
+    # The sets of all classes that share a bucket, each with its heads: the one it shares most bands with, and all.
+    of_node = shared.groupBy("node").agg(F.max_by("head", "count").alias("best"), F.collect_list("head").alias("heads"))
+    leading = shared.select(F.col("head").alias("node"), F.lit(True).alias("leads")).distinct()
+    wanted = of_node.join(leading, "node", "full").withColumn("leads", F.coalesce("leads", F.lit(False)))
+    wanted = wanted.join(sketch.select(F.col("row").alias("node"), "doc_id", "body"), "node")
+    texts = rows.where("doc_id is not null").join(wanted.hint("merge"), ["doc_id", "body"]).dropDuplicates(["doc_id", "body"])
+    texts = texts.select("node", "text", "best", "heads", "leads")
+    sets = stage(texts.mapInArrow(_full, "node bigint, best bigint, heads array<bigint>, leads boolean, shingles array<bigint>"), "minhash-sets")
+    tops = sets.where("leads").select(F.col("node").alias("head"), F.col("shingles").alias("top"))
+
     # First every class against the head it shares most bands with.
-    best = shared.groupBy("node").agg(F.min(F.struct((-F.col("count")).alias("count"), "head")).alias("top"))
-    best = best.select(F.col("top.head").alias("a"), F.col("node").alias("b"))
-    wanted = shared.select(F.explode(F.array("head.id", "node.id")).alias("doc_id")).distinct()
-    texts = rows.drop("body").join(wanted, "doc_id", "left_semi")
-    # Texts of other classes that repeat a wanted id are sets that no pair names.
-    full = texts.mapInArrow(_full, "doc_id bigint, n bigint, f1 bigint, f2 bigint, shingles array<bigint>")
-    sets = stage(full.select(_class("doc_id").alias("node"), "shingles").dropDuplicates(["node", "shingles"]), "minhash-sets")
-    links = stage(_verified(best, sets, similarity), "minhash-links")
+    first = sets.where("best is not null").select(F.col("best").alias("head"), "node", "shingles")
+    first = _differences(first, tops, False)
+    alike = _alike(similarity, F.col("size"), F.col("lost"), F.col("gained"))
+    links = stage(first.where(alike).select(F.col("head").alias("a"), F.col("node").alias("b")), "minhash-links")
 
     # Then heads whose classes are in several groups: how each class differs from the head.
-    apart = stage(_differences(_mixed(shared, components(links)), sets), "minhash-differences")
-    linked = apart.where(100 * (F.col("size") - F.col("lost")) >= similarity * (F.col("size") + F.col("gained")))
-    links = stage(links.unionByName(linked.select(F.col("head").alias("a"), F.col("node").alias("b"))), "minhash-links")
+    mixed = _mixed(shared, components(links)).select("head").distinct()
+    each = sets.where("best is not null").select("node", "shingles", F.explode("heads").alias("head"))
+    apart = stage(_differences(each.join(mixed.hint("merge"), "head", "left_semi"), tops, True), "minhash-differences")
+    links = stage(links.unionByName(apart.where(alike).select(F.col("head").alias("a"), F.col("node").alias("b"))), "minhash-links")
     groups = components(links)
-    across = _candidates(_mixed(apart, groups), groups, similarity)
+    across = stage(_candidates(_mixed(apart, groups), groups, similarity), "minhash-across")
     links = links.unionByName(stage(_verified(across, sets, similarity), "minhash-links"))
     groups = components(links)
 
-    named = sketch.join(classes, ["n", "f1", "f2"], "left").join(groups, "node", "left")
-    top = F.coalesce("root", "node")
+    # A component is named by its smallest id, and of classes that share it by the smallest hash of a set.
+    tie = F.xxhash64("n", "f1", "f2").alias("tie")
+    members = groups.join(classes.select("node", "id", tie), "node")
+    smallest = members.groupBy("root").agg(F.min(F.struct("id", "tie")).alias("top"))
+    named = sketch.join(classes, ["n", "f1", "f2"], "left").join(groups.join(smallest, "root").select("node", "top"), "node", "left")
+    top = F.coalesce("top", F.when(F.col("node").isNotNull(), F.struct("id", tie)))
     return named.select(
         "doc_id",
         "body",
-        F.col("node.tie").alias("tie"),
+        F.when(F.col("node").isNotNull(), tie).alias("tie"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce(top["id"], "doc_id")).alias("component_id"),
-        F.coalesce((F.col("doc_id") == top["id"]) & (F.col("node") == top), F.lit(True)).alias("kept"),
+        F.coalesce((F.col("doc_id") == top["id"]) & (tie == top["tie"]), F.lit(True)).alias("kept"),
     )
