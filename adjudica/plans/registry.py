@@ -43,6 +43,7 @@ def load_all() -> dict[str, Query]:
         queries_scalars,
         queries_sources,
         queries_text,
+        queries_versions,
     )
 
     return QUERIES

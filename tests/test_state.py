@@ -106,3 +106,45 @@ def test_search_index_equals_contains(spark, tmp_path):
         hits = sorted(i for i, p, x in docs if t in f"{p or ''} {x or ''}".lower())[:5]
         want |= {(t, i, r + 1) for r, i in enumerate(hits)}
     assert {(r["term"], r["doc"], r["rank"]) for r in got.collect()} == want
+
+
+def test_drift_names_the_rows(spark):
+    from adjudica.operators import drift
+
+    rows = [(k, f"v{k}", None if k % 5 else k) for k in range(3000)]
+    left = spark.createDataFrame(rows, "k int, v string, w int")
+    changed = [(7, "v7", 1), (10, "other", None)]
+    right = spark.createDataFrame([r for r in rows if r[0] not in (7, 10, 20)] + changed + [(5000, "new", 1)], "k int, v string, w int").select("w", "v", "k").repartition(5)
+    got = {(r["k"], r["change"], tuple(r["columns"])) for r in drift.drift(left, right, ["k"]).collect()}
+    assert got == {(7, "changed", ("w",)), (10, "changed", ("v", "w")), (20, "removed", ()), (5000, "added", ())}
+    assert drift.drift(left, left.repartition(3), ["k"]).collect() == []
+    trees = [drift.hash_tree(df, ["k"]) for df in (left, right.select("k", "v", "w"))]
+    assert drift.differing(*trees, 0) == [0] and len(drift.differing(*trees, 2)) <= 4
+    empty = left.limit(0)
+    assert drift.drift(empty, empty, ["k"]).count() == 0 and drift.drift(empty, left, ["k"]).count() == 3000
+
+
+def test_longest_alias_wins(spark):
+    from adjudica.operators import aliases
+
+    known = spark.createDataFrame([("delhi", "d"), ("new delhi", "nd"), ("agra", "a"), ("agra", "b"), ("", "x"), (None, "y")], "alias string, canonical string")
+    texts = spark.createDataFrame([("new delhi",), ("old delhi agra",), ("agra delhi",), ("nothing",), ("",), (None,), ("agra",), ("agra",)], "text string")
+    got = {(r["text"], r["canonical"]) for r in aliases.longest_aliases(texts, known).collect()}
+    assert got == {("new delhi", "nd"), ("old delhi agra", "d"), ("agra delhi", "d"), ("agra", "a")}
+
+
+def test_row_numbers_of_split_files(spark, tmp_path):
+    from adjudica.sources import files
+
+    rows = {f"f{n}": [f"{k},{'x' * (k % 40)}" for k in range(n)] for n in (1, 700, 2500)}
+    for name, lines in rows.items():
+        (tmp_path / f"{name}.csv").write_text("k,v\n" + "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    try:
+        df = files.scan_csv(spark, str(tmp_path), ["k", "v"], lineage=True)
+        got = df.collect()
+        assert df.rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(got) == 3201 and all(r["source_row"] == int(r["k"]) + 2 and r["v"] == "x" * (int(r["k"]) % 40) for r in got)
