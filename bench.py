@@ -15,7 +15,7 @@ from adjudica.session import local_session  # noqa: E402
 HEADLINE = [
     "normalize_ticket", "resolve_entities", "field_conflicts", "dedupe_first", "insert_ignore", "mask_text",
     "asof_latest", "vehicle_days", "evaluate_rules", "classify", "select_top1", "search_documents",
-    "tokenize", "check_unique", "content_fingerprint",
+    "tokenize", "check_unique", "content_fingerprint", "scan_queue_records", "answer_questions", "run_files",
 ]
 
 
