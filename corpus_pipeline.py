@@ -14,7 +14,12 @@ from adjudica.session import stage, tune
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language; those without a letter or without a clear language go."""
+    """Documents that have a language; those without a letter or without a clear language go.
+
+    Null and empty texts have no letter. Rows are judged one by one by their text, whatever their id, so repeated rows
+    share a fate and a null id changes nothing. Without labelled languages no text has a clear one. An empty
+    table gives an empty table; other columns are kept.
+    """
     return language_ppm.known_rows(docs, language_ppm.fit(docs))
 
 
@@ -41,13 +46,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of every secret and ``n_chars`` counted anew."""
+    """All documents, with a mark in place of every secret and ``n_chars`` counted anew.
+
+    Null texts stay null and empty ones empty. Every row stays, repeated ones and those without id too; other columns are
+    kept as they are. An empty table gives an empty table.
+    """
     clean = secrets_markov.redact(docs, secrets_markov.fit(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, and whether decoding them gives its text back."""
+    """Ids of every document, and a hash of the text that decoding them gives back.
+
+    A null or empty text has no ids. Every row has a result, repeated ones and those without id too; an empty table
+    gives none. Texts of any length are encoded whole.
+    """
     coded = sentencepiece_table.encode_decode(docs, tokenizer_path("piece_bpe_32k.model"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
@@ -67,7 +80,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("encode", _ready(encode)),
 ]
 
-# SQL has no form of the byte context trees and the tokenizer; tests compare with a brute-force version.
+# SQL has no form of the byte context trees and the tokenizer; tests/llm/test_pipeline.py compares with plain Python.
 ORACLE_SQL: str | None = None
 
 
