@@ -16,7 +16,6 @@ Documents travel in compressed blocks that are written once; what comes back to
 from __future__ import annotations
 
 import hashlib
-import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +33,9 @@ GRAM = 20  # bytes of an anchor
 _REACH = LENGTH - GRAM + 1  # windows that can share an anchor
 _WIDTH = LENGTH + _REACH - 1  # bytes they cover together
 
+_ALONE = 255  # in place of an anchor: a window that meets its likes by its own hash
+_PIECES = 10_000  # surroundings sorted at once
+
 _BASE = 0x9E3779B97F4A7C15
 _VALUES = np.random.default_rng(50).integers(1, 2**63, 256, dtype=np.uint64)  # what a byte counts in a hash
 
@@ -54,9 +56,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Sizes:
     """How work is cut up; results don't depend on it."""
 
-    block: int = 8_000_000  # bytes of text in a block; a longer document is a block of its own
-    slice: int = 1_000_000  # bytes worked on at once
-    bucket: int = 8_000_000  # bytes of the corpus for one bucket of an exchange
+    block: int = 1_200_000  # bytes of text in a block, half a megabyte packed; a longer document is a block of its own
+    slice: int = 500_000  # bytes worked on at once
+    bucket: int = 32_000_000  # bytes of the corpus for one bucket of an exchange
     hot: int = 1_000  # an anchor with more occurrences meets window by window
 
 
@@ -75,15 +77,18 @@ class Prefixes:
 
 def _freeze(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed bytes, byte by byte of their numbers, which zeros and slow growth make small."""
-    out = io.BytesIO()
-    for a in arrays:
-        np.save(out, np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T, allow_pickle=False)
-    return zstandard.ZstdCompressor(level=3).compress(out.getvalue())
+    parts = [np.array([len(a) for a in arrays], np.int64).tobytes()]
+    parts += [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def _thaw(blob: bytes, *types: str) -> list[np.ndarray]:
-    held = io.BytesIO(zstandard.ZstdDecompressor().decompress(blob))
-    return [np.ascontiguousarray(np.load(held, allow_pickle=False).T).reshape(-1).view(t) for t in types]
+    data, at, out = zstandard.ZstdDecompressor().decompress(blob), 8 * len(types), []
+    for n, t in zip(np.frombuffer(data, np.int64, len(types)).tolist(), types, strict=True):
+        size = np.dtype(t).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).reshape(-1).view(t))
+        at += n * size
+    return out
 
 
 def _deltas(sorted_: np.ndarray) -> np.ndarray:
@@ -98,7 +103,7 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # Blocks.
 
-_BLOCKS = "ids array<bigint>, sizes array<bigint>, packed binary"
+_BLOCKS = "ids array<bigint>, sizes array<bigint>, prints array<binary>, packed binary"
 
 
 def _packing(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -108,8 +113,11 @@ def _packing(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
     size = 0
 
     def block() -> pa.RecordBatch:
-        packed = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
-        out = pa.RecordBatch.from_arrays([pa.array([list(ids)], pa.list_(pa.int64())), pa.array([list(sizes)], pa.list_(pa.int64())), pa.array([packed], pa.binary())], names=["ids", "sizes", "packed"])
+        packed = zstandard.ZstdCompressor(level=6).compress(b"".join(texts))
+        # What can't hold a repeat needs no print.
+        prints = [hashlib.blake2b(t, digest_size=16).digest() if len(t) >= LENGTH else None for t in texts]
+        columns = [pa.array([list(ids)], pa.list_(pa.int64())), pa.array([list(sizes)], pa.list_(pa.int64())), pa.array([prints], pa.list_(pa.binary())), pa.array([packed], pa.binary())]
+        out = pa.RecordBatch.from_arrays(columns, names=["ids", "sizes", "prints", "packed"])
         ids.clear(), sizes.clear(), texts.clear()
         return out
 
@@ -126,6 +134,14 @@ def _packing(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
         yield block()
 
 
+def copies_in(blocks: DataFrame) -> DataFrame:
+    """``block``, ``copies``: places in it of documents whose whole text a smaller id has as well; none of them is looked into."""
+    each = blocks.select("block", F.posexplode(F.arrays_zip("ids", "prints")).alias("at", "doc")).select("block", "at", "doc.ids", "doc.prints")
+    each = each.where("ids is not null and prints is not null")
+    first = stage(each.groupBy("prints").agg(F.min("ids").alias("first"), F.max("ids").alias("last")).where("last > first").drop("last"), "suffix-copies")
+    return each.join(first, "prints").where("ids > first").groupBy("block").agg(F.collect_list("at").alias("copies"))
+
+
 def _opened(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A block's bytes, the ends of its documents in them, their ids, and which documents have one."""
     data = zstandard.ZstdDecompressor().decompress(batch.column("packed")[row].as_py()) or b""
@@ -138,6 +154,11 @@ def _opened(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np
 # Anchors.
 
 
+def _evenly(grams: np.ndarray) -> np.ndarray:
+    """Names of anchors that spread over all numbers; their hashes are smallest ones and crowd near zero."""
+    return _mix(grams + np.uint64(_BASE))
+
+
 def _anchors(data: np.ndarray, ends: np.ndarray, known: np.ndarray, slice_: int) -> tuple[np.ndarray, ...]:
     """Runs of windows with one anchor: gram, first window, number of windows, place of the anchor, document."""
     found = []
@@ -165,7 +186,7 @@ def _anchors(data: np.ndarray, ends: np.ndarray, known: np.ndarray, slice_: int)
         edges = np.append(np.flatnonzero(breaks), n)
         stop = edges[np.searchsorted(edges, first, side="right")]
         stop = np.minimum(stop, ends[doc[first]] - LENGTH + 1 - start)
-        found.append((grams[place[first]], first + start, stop - first, place[first].astype(np.int64) + start, doc[first]))
+        found.append((_evenly(grams[place[first]]), first + start, stop - first, place[first].astype(np.int64) + start, doc[first]))
     if not found:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none, none
@@ -214,8 +235,7 @@ def _shared(rows: pd.DataFrame, hot: int) -> pd.DataFrame:
 
 def _rows_of(data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The bytes of pieces as rows of one width, filled up with zeros."""
-    padded = np.append(data, np.zeros(_WIDTH, np.uint8))
-    rows = padded[at[:, None] + np.arange(_WIDTH)]
+    rows = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(_WIDTH, np.uint8)), _WIDTH)[at]
     rows[np.arange(_WIDTH) >= length[:, None]] = 0
     return rows
 
@@ -227,6 +247,12 @@ def _row_hash(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
     return _mix(out + length.astype(np.uint64))
 
 
+def _gram_hash(rows: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Hash of the gram at ``offset`` of every row, as ``_anchors`` has it."""
+    grams = np.lib.stride_tricks.sliding_window_view(rows, GRAM, axis=1)[np.arange(len(rows)), offset]
+    return _evenly(_mix((_VALUES[grams] * _powers(_BASE, GRAM)).sum(axis=1, dtype=np.uint64)))
+
+
 def _classes(key: np.ndarray, anchor: np.ndarray, length: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number the pieces that are equal in key, place of the anchor and bytes; and a piece of every class."""
     name = _row_hash(rows, length * 256 + anchor)
@@ -256,6 +282,7 @@ def _surroundings(batches: Iterator[pa.RecordBatch], bits: int, parts: int, slic
             _, place = np.unique(gram >> np.uint64(64 - bits), return_inverse=True)
             replies = sorted(batch.column("replies")[row].as_py(), key=lambda r: r["bucket"])
             flag = np.concatenate([_thaw(r["flags"], "u1")[0] for r in replies])[place]
+            flag[np.isin(doc, batch.column("copies")[row].as_py() or [])] = 0
             common, hot = flag == 1, np.flatnonzero(flag == 2)
             whose, step = _spread(many[hot])
             each = at[hot][whose] + step
@@ -263,24 +290,25 @@ def _surroundings(batches: Iterator[pa.RecordBatch], bits: int, parts: int, slic
             if not len(start):
                 continue
             length = np.concatenate([many[common] + LENGTH - 1, np.full(len(each), LENGTH)])
-            offset = np.concatenate([anchor[common] - at[common], np.zeros(len(each), np.int64)])
+            offset = np.concatenate([anchor[common] - at[common], np.full(len(each), _ALONE)])
             owner = ids[np.concatenate([doc[common], doc[hot][whose]])]
             rows = _rows_of(data, start, length)
             key = np.concatenate([gram[common], _row_hash(rows[common.sum() :], length[common.sum() :])])
-            number, example = _classes(key, offset, length, rows)
-            member = np.lexsort((start, number))
-            bucket = (key[example] >> np.uint64(64 - parts)).astype(np.int64) if parts else np.zeros(len(example), np.int64)
-            count = np.bincount(number, minlength=len(example))
-            # Classes are numbered by key, so those of a bucket stand together.
-            cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            sides = np.append(cut, len(example))
-            upto = np.append(0, np.cumsum(count))
-            blobs = []
-            for lo, hi in zip(sides[:-1], sides[1:], strict=True):
+            number, _ = _classes(key, offset, length, rows)
+            bucket = (key >> np.uint64(64 - parts)).astype(np.int64) if parts else np.zeros(len(key), np.int64)
+            # By bucket, then classes by their first place, then places: numbers that grow slowly.
+            least = np.full(number.max() + 1, len(data))
+            np.minimum.at(least, number, start)
+            member = np.lexsort((start, number, least[number], bucket))
+            new = np.append(True, number[member][1:] != number[member][:-1])
+            example, upto = member[new], np.append(np.flatnonzero(new), len(member))
+            cut = np.flatnonzero(np.append(True, bucket[example][1:] != bucket[example][:-1]))
+            bucket, blobs = bucket[example], []
+            for lo, hi in zip(cut, np.append(cut[1:], len(example)), strict=True):
                 mine, held = example[lo:hi], member[upto[lo] : upto[hi]]
                 inside = np.arange(_WIDTH) < length[mine][:, None]
                 blobs.append(
-                    _freeze(key[mine], length[mine].astype(np.uint8), offset[mine].astype(np.uint8), rows[mine][inside], count[lo:hi].astype(np.int64), start[held].astype(np.int64), owner[held])
+                    _freeze(length[mine].astype(np.uint8), offset[mine].astype(np.uint8), rows[mine][inside], np.diff(upto[lo : hi + 1]), np.diff(start[held], prepend=0), np.diff(owner[held], prepend=0))
                 )
             block = pa.array([batch.column("block")[row].as_py()] * len(cut), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()), block, pa.array(blobs, pa.binary())], names=["bucket", "block", "pieces"])
@@ -336,7 +364,7 @@ def _merged(prefixes: Prefixes, text: np.ndarray, group: np.ndarray, at: np.ndar
 def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The ``LENGTH`` bytes from each place on, as big-endian numbers that compare like the bytes."""
     wide = -(-LENGTH // 8) * 8
-    rows = text[at[:, None] + np.arange(wide)]
+    rows = np.lib.stride_tricks.sliding_window_view(text, wide)[at]
     rows[:, LENGTH:] = 0
     return rows.view(">u8").astype(np.uint64)
 
@@ -371,13 +399,46 @@ def suffix_runs(text: np.ndarray, group: np.ndarray, at: np.ndarray) -> np.ndarr
 
 def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     """Per block of a bucket the intervals that an earlier document has as well."""
-    held = [_thaw(b, "u8", "u1", "u1", "u1", "i8", "i8", "i8") for b in rows["pieces"]]
-    key, length, offset, flat, count, start, owner = (np.concatenate([h[k] for h in held]) for k in range(7))
+    held = [_thaw(b, "u1", "u1", "u1", "i8", "i8", "i8") for b in rows["pieces"]]
+    source = np.repeat(np.arange(len(held)), [len(h[4]) for h in held])
+    length, offset, flat, count = (np.concatenate([h[k] for h in held]) for k in range(4))
+    start, owner = (np.concatenate([np.cumsum(h[k]) for h in held]) for k in (4, 5))
+    del held
     length, offset = length.astype(np.int64), offset.astype(np.int64)
-    source = np.repeat(np.arange(len(held)), [len(h[5]) for h in held])
-    pieces = _rows_of(flat, np.cumsum(length) - length, length)
+    text_at, member_at = np.cumsum(length) - length, np.cumsum(count) - count
+    key = np.empty(len(length), np.uint64)
+    for lo in range(0, len(key), _PIECES):
+        part = slice(lo, lo + _PIECES)
+        pieces, alone = _rows_of(flat, text_at[part], length[part]), offset[part] == _ALONE
+        key[part] = np.where(alone, _row_hash(pieces, length[part]), _gram_hash(pieces, np.where(alone, 0, offset[part])))
+    by_key = np.argsort(key, kind="stable")
+    sorted_, found, lo = key[by_key], [], 0
+    while lo < len(by_key):
+        # Some thousand pieces at a time, those of one key together.
+        hi = int(np.searchsorted(sorted_, sorted_[min(lo + _PIECES, len(by_key)) - 1], side="right"))
+        pick = by_key[lo:hi]
+        of, step = _spread(count[pick])
+        member = member_at[pick][of] + step
+        begin, end, place = _earlier(key[pick], length[pick], offset[pick], _rows_of(flat, text_at[pick], length[pick]), of, start[member], owner[member])
+        found.append((source[member][place], begin, end))
+        lo = hi
+    block, begin, end = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((begin, block))
+    block, begin, end = block[order], begin[order], end[order]
+    cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))[: len(block)]
+    blobs = [_freeze(_deltas(b), (e - b).astype(np.int16)) for b, e in zip(np.split(begin, cut[1:]), np.split(end, cut[1:]), strict=True)] if len(block) else []
+    return pd.DataFrame({"block": rows["block"].to_numpy()[block[cut]] if len(block) else np.zeros(0, np.int64), "gone": blobs})
+
+
+def _earlier(
+    key: np.ndarray, length: np.ndarray, offset: np.ndarray, pieces: np.ndarray, of: np.ndarray, start: np.ndarray, owner: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and places of the intervals whose windows a smaller document has.
+
+    A place has piece ``of``, begins at ``start`` of its block and belongs to document ``owner``.
+    """
     number, example = _classes(key, offset, length, pieces)
-    member = np.repeat(number, count)
+    member = number[of]
     first = np.full(len(example), np.iinfo(np.int64).max)
     np.minimum.at(first, member, owner)
     # Windows of the distinct surroundings, each with the smallest document that holds its class.
@@ -385,7 +446,7 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     base = np.cumsum(windows) - windows
     piece, at = _spread(windows)
     earliest = first[piece]
-    keys, inverse, kinds = np.unique(key[example], return_inverse=True, return_counts=True)
+    _, inverse, kinds = np.unique(key[example], return_inverse=True, return_counts=True)
     several = np.flatnonzero(kinds[inverse][piece] > 1)
     if len(several):
         texts = np.append(pieces[example].reshape(-1), np.zeros(64, np.uint8))
@@ -397,21 +458,14 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
         np.minimum.at(least, run, earliest[several])
         earliest[several] = least[run]
     # Places whose windows an earlier document has: runs of such windows are intervals.
-    lowest = np.minimum.reduceat(earliest, base) if len(base) else earliest
-    late = np.flatnonzero(lowest[member] < owner)
+    late = np.flatnonzero(np.minimum.reduceat(earliest, base)[member] < owner)
     who, step = _spread(windows[member[late]])
     gone = earliest[base[member[late]][who] + step] < owner[late][who]
     edge = np.append(True, who[1:] != who[:-1])[: len(who)]
     before = np.append(False, gone[:-1])[: len(gone)] & ~edge
     after = np.append(gone[1:], False)[: len(gone)] & ~np.append(edge[1:], True)[: len(edge)]
     lo, hi = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
-    begin, end = start[late][who[lo]] + step[lo], start[late][who[hi]] + step[hi] + LENGTH
-    block = source[late][who[lo]]
-    order = np.lexsort((begin, block))
-    block, begin, end = block[order], begin[order], end[order]
-    cut = np.flatnonzero(np.append(True, block[1:] != block[:-1]))[: len(block)]
-    blobs = [_freeze(_deltas(b), (e - b).astype(np.int16)) for b, e in zip(np.split(begin, cut[1:]), np.split(end, cut[1:]), strict=True)] if len(block) else []
-    return pd.DataFrame({"block": rows["block"].to_numpy()[block[cut]] if len(block) else np.zeros(0, np.int64), "gone": blobs})
+    return start[late][who[lo]] + step[lo], start[late][who[hi]] + step[hi] + LENGTH, late[who[lo]]
 
 
 # What is left.
@@ -429,8 +483,11 @@ def _remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begin = np.cumsum(begin)
                 np.add.at(change, begin, 1)
                 np.add.at(change, begin + size, -1)
-            gone = np.cumsum(change)[:-1] > 0
             begins = np.append(0, ends[:-1])
+            whole = np.array(batch.column("copies")[row].as_py() or [], np.int64)
+            np.add.at(change, begins[whole], 1)
+            np.add.at(change, ends[whole], -1)
+            gone = np.cumsum(change)[:-1] > 0
             fresh = gone.copy()
             fresh[1:] &= ~gone[:-1]
             fresh[begins[begins < len(data)]] |= gone[begins[begins < len(data)]]
@@ -480,6 +537,7 @@ def remove_repeats(docs: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     codes = blocks.mapInArrow(lambda b: _coded(b, bits, parts, sizes.slice), "bucket bigint, block bigint, codes binary")
     shared = codes.groupBy("bucket").applyInPandas(lambda rows: _shared(rows, sizes.hot), "block bigint, bucket bigint, flags binary")
     replies = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("replies"))
-    pieces = blocks.join(replies, "block").mapInArrow(lambda b: _surroundings(b, bits, parts, sizes.slice), "bucket bigint, block bigint, pieces binary")
+    copies = stage(copies_in(blocks), "suffix-copies")
+    pieces = blocks.join(replies, "block").join(copies, "block", "left").mapInArrow(lambda b: _surroundings(b, bits, parts, sizes.slice), "bucket bigint, block bigint, pieces binary")
     gone = pieces.groupBy("bucket").applyInPandas(_repeats, "block bigint, gone binary").groupBy("block").agg(F.collect_list("gone").alias("gone"))
-    return blocks.join(gone, "block", "left").mapInArrow(_remaining, _LEFT)
+    return blocks.join(gone, "block", "left").join(copies, "block", "left").mapInArrow(_remaining, _LEFT)
