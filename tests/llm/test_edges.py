@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from conftest_texts import TEXTS  # noqa: F401
 
-NAMES = ["op1_sentencepiece", "op2_near_duplicates", "op3_secrets", "op5_fingerprints", "op6_toxicity", "op7_license_scan", "op8_language_id", "op9_coded_ids", "op10_decontamination"]
+NAMES = ["op1_sentencepiece", "op2_near_duplicates", "op3_secrets", "op5_fingerprints", "op6_toxicity", "op7_license_scan", "op8_language_id", "op9_coded_ids", "op10_decontamination", "op11_suffix_dedup"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -16,7 +16,7 @@ def test_every_row_has_a_result(llm, sf_dir, name):
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in TEXTS)
 
 
-@pytest.mark.parametrize("name", [*NAMES, "op4_url_filter"])
+@pytest.mark.parametrize("name", [*NAMES, "op4_url_filter", "op12_filter_audit", "op13_ranked_search"])
 def test_empty_tables(llm, sf_dir, tmp_path, name):
     from adjudica.llm.queries import QUERIES
 

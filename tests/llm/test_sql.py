@@ -10,7 +10,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-@pytest.mark.parametrize("name", ["op4_url_filter", "op10_decontamination"])
+@pytest.mark.parametrize("name", ["op4_url_filter", "op10_decontamination", "op12_filter_audit", "op13_ranked_search"])
 def test_query_equals_sql(llm, name):
     from oracle_check import compare, oracle
 
