@@ -94,22 +94,25 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     runs = F.concat(*[_runs(words, n, gram) for n in lengths]) if lengths else F.array().cast("array<struct<length:int,first:int,last:int,print:bigint>>")
     # A first entry without fingerprint stands for the document itself.
     itself = F.array(F.struct(F.lit(0).alias("length"), F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(None).cast("bigint").alias("print")))
-    sent = rows.select("id", "body", "words", F.explode(F.concat(itself, runs)).alias("run"))
+    sent = F.concat(itself, runs)
     found = prints.withColumn("found", F.lit(True))
+    count = F.when(F.col("run.first") < 0, F.col("size")).alias("n_words")
+    own = F.slice("words", F.col("run.first") + 1, F.col("run.last") - F.col("run.first") + F.col("run.length"))
     if prints.count() <= BROADCAST_ROWS:
-        hit = sent.join(F.broadcast(found), F.col("run.print") == F.col("print"), "left")
-        hit = hit.where((F.col("run.first") < 0) | F.col("found"))
-        hit = hit.select("id", "body", "run", F.when(F.col("run.first") < 0, F.size("words")).alias("n_words"), F.when(F.col("run.first") >= 0, words).alias("words"))
+        each = rows.select("id", "body", "words", F.size("words").alias("size"), F.explode(sent).alias("run"))
+        hit = each.join(F.broadcast(found), F.col("run.print") == F.col("print"), "left").where((F.col("run.first") < 0) | F.col("found"))
+        # A hit is kept with its own words only, so that a long quotation isn't written once for each of its runs.
+        hit = hit.select("id", "body", "run", count, F.when(F.col("run.first") >= 0, own).alias("words"))
     else:
         # Only hits go back to their texts; the texts themselves are not sent along with every fingerprint.
-        light = sent.select("id", "body", "run", F.when(F.col("run.first") < 0, F.size("words")).alias("n_words"))
+        light = rows.select("id", "body", F.size("words").alias("size"), F.explode(sent).alias("run")).select("id", "body", "run", count)
         matched = light.where("run.first >= 0").join(found, F.col("run.print") == F.col("print")).select("id", "body", "run").distinct()
         texts = rows.dropDuplicates(["id", "body"])
-        matched = matched.join(texts, matched["id"].eqNullSafe(texts["id"]) & (matched["body"] == texts["body"])).select(matched["id"], matched["body"], "run", F.lit(None).cast("int").alias("n_words"), "words")
+        matched = matched.join(texts, matched["id"].eqNullSafe(texts["id"]) & (matched["body"] == texts["body"])).select(matched["id"], matched["body"], "run", F.lit(None).cast("int").alias("n_words"), own.alias("words"))
         hit = light.where("run.first < 0").withColumn("words", F.lit(None).cast("array<string>")).unionByName(matched)
     hit = stage(hit, "benchmark-hits")
-    starts = hit.select("id", "body", "n_words", F.col("run.length").alias("length"), "words", F.explode(F.sequence("run.first", "run.last")).alias("start"))
-    starts = starts.select("id", "body", "n_words", "length", "start", F.when(F.col("start") >= 0, _window(F.col("words"), F.col("start"), F.col("length"))).alias("window"))
+    starts = hit.select("id", "body", "n_words", F.col("run.length").alias("length"), F.col("run.first").alias("first"), "words", F.explode(F.sequence("run.first", "run.last")).alias("start"))
+    starts = starts.select("id", "body", "n_words", "length", "start", F.when(F.col("start") >= 0, _window(F.col("words"), F.col("start") - F.col("first"), F.col("length"))).alias("window"))
     same = starts.join(known.select("window", "length", "items"), ["window", "length"], "left")
     place = F.when(F.col("items").isNotNull(), F.struct("start", (F.col("start") + F.col("length")).alias("end")))
     grouped = same.groupBy("id", "body").agg(
